@@ -16,15 +16,24 @@ def join_lookup(
     *,
     broadcast: bool,
     salts: int,
+    may_repeat: bool = False,
 ) -> DataFrame:
     """Equi-join with ``right`` unique on ``keys``; ``how`` keeps or filters rows of ``left``.
 
     ``broadcast`` is the caller's finding that ``right`` is within the measured bounds. Otherwise
-    the rows of a left key spread over ``salts`` tasks, by a hash of the whole row, and each right
-    row is repeated once per salt. The result is the same either way, in batch and in streams.
+    the rows of a left key spread over ``salts`` tasks, and each right row is repeated once per
+    salt. The result is the same either way, in batch and in streams.
+
+    Rows are spread by a hash of the whole row, or, where they ``may_repeat``, by a seeded random
+    number, since copies of one row would all hash alike. The numbers follow the rows' positions in
+    their partition, which rows read from a source keep when a task is repeated.
     """
     if broadcast:
         return left.join(F.broadcast(right), keys, how)
-    spread = left.withColumn(SALT, F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    if may_repeat:
+        salt = F.floor(F.rand(0) * salts)
+    else:
+        salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts))
+    spread = left.withColumn(SALT, salt.cast("int"))
     repeated = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(repeated, [*keys, SALT], how).drop(SALT)

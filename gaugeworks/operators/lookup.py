@@ -41,14 +41,16 @@ def lookup_join(
     readings: DataFrame,
     dimension: DataFrame,
     settings: Settings = DEFAULTS,
-    size: DimensionSize | None = None,
+    *,
+    may_repeat: bool = True,
 ) -> DataFrame:
     """``readings`` with ``type_name`` added; ids the dimension lacks get the fallback name.
 
     Works on anything with a ``type_id`` column, streaming or not. In a stream the dimension is
-    scanned by every micro-batch, so a database source is read afresh each time.
+    scanned by every micro-batch, so a database source is read afresh each time. ``may_repeat``
+    is false if no two input rows are the same.
     """
-    size = size or measure(dimension)
+    size = measure(dimension)
     names = dimension.select(F.col("id").alias("type_id"), F.col("type_name").alias("__name"))
     joined = join_lookup(
         readings,
@@ -57,6 +59,7 @@ def lookup_join(
         "left",
         broadcast=size.fits(settings),
         salts=settings.salts,
+        may_repeat=may_repeat,
     )
     return joined.select(
         *readings.columns,

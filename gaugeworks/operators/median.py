@@ -15,20 +15,25 @@ from gaugeworks.functions.exact_sum import PIECES, exact_sum_value
 from gaugeworks.operators.cells import GROUP
 from gaugeworks.operators.joins import join_lookup
 from gaugeworks.settings import DEFAULTS, Settings
-from gaugeworks.storage import staged
+from gaugeworks.storage import scratch_path, staged
 
 
 def fold_cells(
-    cells: DataFrame, settings: Settings = DEFAULTS, *, is_staged: bool = False
+    cells: DataFrame, settings: Settings = DEFAULTS, work: str | None = None
 ) -> DataFrame:
     """Per group: ``n_events``, ``mean_temperature``, ``median_humidity`` (both unrounded), and
     ``type_name`` as last seen if the cells carry names.
 
-    The cells are written to reliable storage first, unless the caller has done so: they are
-    small next to the readings, and how the groups are sized decides the plan.
+    The cells are written below ``work`` first: they are small next to the readings, and how the
+    groups are sized decides the plan. ``work`` has to stay until the result has been used; it
+    defaults to a fresh folder in the shared one.
     """
-    if not is_staged:
-        cells = staged(cells)
+    work = work or scratch_path(cells.sparkSession, "fold")
+    return fold_staged(staged(cells, f"{work}/cells"), settings, work)
+
+
+def fold_staged(cells: DataFrame, settings: Settings, work: str) -> DataFrame:
+    """``fold_cells`` for cells that are a stored table already."""
     limit = settings.group_cells_per_task
     if cells.count() <= limit:
         return _by_group(cells)
@@ -37,7 +42,8 @@ def fold_cells(
         cells.groupBy(*GROUP)
         .agg(F.count(F.lit(1)).alias("cells"))
         .where(F.col("cells") > limit)
-        .select(*GROUP)
+        .select(*GROUP),
+        f"{work}/large",
     )
     n_large = large.count()
     if n_large == 0:
@@ -46,7 +52,7 @@ def fold_cells(
     split = {"broadcast": n_large <= settings.broadcast_max_rows, "salts": settings.salts}
     small_cells = join_lookup(cells, large, GROUP, "left_anti", **split)
     large_cells = join_lookup(cells, large, GROUP, "left_semi", **split)
-    return _by_group(small_cells).unionByName(_by_range(large_cells, limit))
+    return _by_group(small_cells).unionByName(_by_range(large_cells, limit, work))
 
 
 def _totals(cells: DataFrame) -> list[Column]:
@@ -99,14 +105,15 @@ def _by_group(cells: DataFrame) -> DataFrame:
     )
 
 
-def _by_range(cells: DataFrame, slice_cells: int) -> DataFrame:
+def _by_range(cells: DataFrame, slice_cells: int, work: str) -> DataFrame:
     """Groups of any size, in slices of about ``slice_cells`` cells each."""
     slices = max(2, -(-cells.count() // slice_cells))
     # The sampled slice bounds differ between runs of the same plan, so they are fixed by staging.
     sliced = staged(
         cells.repartitionByRange(slices, *GROUP, "humidity").withColumn(
             "slice", F.spark_partition_id()
-        )
+        ),
+        f"{work}/sliced",
     )
 
     # At most one row per group and slice, so a group's window here has at most ``slices`` rows.

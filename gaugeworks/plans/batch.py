@@ -29,15 +29,18 @@ def publishable(groups: DataFrame) -> DataFrame:
 
 
 def batch_summary(
-    readings: DataFrame, dimension: DataFrame, settings: Settings = DEFAULTS
+    readings: DataFrame,
+    dimension: DataFrame,
+    settings: Settings = DEFAULTS,
+    work: str | None = None,
 ) -> DataFrame:
-    """Summary of unnamed readings.
+    """Summary of unnamed readings. Intermediate tables go below ``work``, see ``fold_cells``.
 
     The name depends on ``type_id`` alone and the dimension does not change during a batch, so
     it is looked up once per group rather than once per reading.
     """
-    groups = fold_cells(reading_cells(readings, settings.window), settings)
-    return publishable(lookup_join(groups, dimension, settings))
+    groups = fold_cells(reading_cells(readings, settings.window), settings, work)
+    return publishable(lookup_join(groups, dimension, settings, may_repeat=False))
 
 
 def named_summary(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

@@ -16,11 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gaugeworks.operators.cells import reading_cells
 from gaugeworks.operators.lookup import lookup_join
-from gaugeworks.operators.median import fold_cells
+from gaugeworks.operators.median import fold_staged
 from gaugeworks.plans.batch import publishable
 from gaugeworks.settings import DEFAULTS, Settings
 from gaugeworks.sources.sinks import write_results
-from gaugeworks.storage import shared_dir, staged
+from gaugeworks.storage import remove, scratch_path, staged
 
 
 def streaming_cells(
@@ -78,13 +78,16 @@ def start(
     """Start the query; ``write(summary, batch_id)`` receives the summaries of closed windows."""
 
     def fold(closed: DataFrame, batch_id: int) -> None:
-        # Staged whole before anything else: every state partition must run exactly once.
-        closed = staged(closed)
-        if not closed.isEmpty():
-            write(publishable(fold_cells(closed, settings, is_staged=True)), batch_id)
+        # Read once and whole, to be stored; after that the state is not touched again.
+        work = scratch_path(closed.sparkSession, "closed")
+        try:
+            closed = staged(closed, f"{work}/cells")
+            if not closed.isEmpty():
+                write(publishable(fold_staged(closed, settings, work)), batch_id)
+        finally:
+            remove(closed.sparkSession, work)
 
     spark = cells.sparkSession
-    shared_dir(spark)
     writer = cells.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     with _session_conf(spark, _query_conf(settings)):
         return writer.foreachBatch(fold).trigger(**trigger).start()

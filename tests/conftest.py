@@ -1,0 +1,32 @@
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    root = tmp_path_factory.mktemp("spark")
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("gaugeworks-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(root / "shared"))
+        .config("spark.sql.warehouse.dir", str(root / "warehouse"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def other_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    yield
+    spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -1,0 +1,42 @@
+"""Every registered query against DuckDB on the smallest test tables."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as driver
+
+SF_DIR = Path("/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="test tables are not here")
+
+
+@pytest.fixture(scope="module")
+def oracle():
+    con = duckdb.connect()
+    for table in SF_DIR.glob("*.parquet"):
+        con.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM '{table}'")
+    return con
+
+
+def rows(frame):
+    frame = frame[sorted(frame.columns)]
+    return sorted(map(repr, frame.itertuples(index=False, name=None)))
+
+
+def test_every_query_has_an_oracle():
+    assert driver.queries().keys() == driver.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", driver.queries())
+def test_query_equals_oracle(spark, oracle, name):
+    got = driver.queries()[name](spark, str(SF_DIR)).toPandas()
+    want = oracle.sql(driver.oracle_sql()[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert len(got) > 0
+    assert rows(got) == rows(want)
+
+
+def test_entry(spark):
+    assert driver.entry(spark).count() > 0

@@ -1,0 +1,56 @@
+"""What the plans must keep to at scale."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeworks.functions import decode, encode_reading
+from gaugeworks.operators.cells import reading_cells
+from gaugeworks.operators.lookup import lookup_join
+from gaugeworks.sources import sensor_table
+from helpers import dimension, readings
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def message_files(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    readings(spark, [(1, 1, 20, 50)]).select(encode_reading().alias("value")).write.text(path)
+    return spark.read.text(path)
+
+
+def test_messages_are_parsed_once(message_files):
+    text = plan(reading_cells(decode(message_files), "1 minute"))
+    assert text.count("from_json") == 1
+    assert "- Filter" not in text
+
+
+def test_cells_are_hash_aggregated_before_the_only_shuffle(message_files):
+    text = plan(reading_cells(decode(message_files), "1 minute"))
+    assert text.count("Exchange") == 1
+    assert text.count("HashAggregate") == 2 and "partial_sum" in text
+    assert "SortAggregate" not in text and "Python" not in text
+    # The value is part of the shuffle key, so one type spreads over many tasks.
+    assert re.search(r"hashpartitioning\(window#\d+, type_id#\d+, humidity#\d+", text)
+
+
+def test_named_cells_are_hash_aggregated_too(spark, message_files):
+    named = lookup_join(decode(message_files), dimension(spark, {1: "a"}))
+    text = plan(reading_cells(named, "1 minute", seen_at=F.current_timestamp()))
+    assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+    assert "BroadcastHashJoin" in text
+
+
+def test_scan_reads_only_used_columns(spark, tmp_path):
+    path = str(tmp_path / "events")
+    spark.sql(
+        "SELECT 1L AS event_id, timestamp_ntz'2024-01-01 00:00:00' AS ts, 1L AS user_id,"
+        " 'click' AS event_type, 1.5D AS value, '{\"k\": 3}' AS props"
+    ).write.parquet(path)
+    text = plan(reading_cells(sensor_table(spark.read.parquet(path)), "1 minute"))
+    schema = re.search(r"ReadSchema: struct<(.*?)>", text).group(1)
+    assert {field.split(":")[0] for field in schema.split(",")} == {"ts", "user_id", "value", "props"}

@@ -1,0 +1,199 @@
+"""The scenarios of FIXTURES.md section 5, and the stream against the batch."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeworks import Settings, batch_summary
+from gaugeworks.functions import decode, encode_reading
+from gaugeworks.sources import messages_stream, write_results
+from gaugeworks.streaming import run_available, run_refreshing, start, streaming_cells
+from helpers import JOB_FAILED, collected, dimension, expected, readings
+from test_batch import NAMES, TIGHT, random_rows
+
+LATER = [(1, 600, 0, 0)]
+
+
+class Stream:
+    """Feeds one batch of rows at a time through the query, on one checkpoint."""
+
+    def __init__(self, spark, tmp_path, settings=None):
+        self.spark, self.root = spark, tmp_path
+        self.settings = settings or Settings()
+        self.fed = 0
+        self.progress = []
+
+    def feed(self, rows, names=NAMES):
+        frame = readings(self.spark, rows).coalesce(1).select(encode_reading().alias("value"))
+        frame.write.text(str(self.root / "in" / str(self.fed)))
+        self.fed += 1
+        self.run(names)
+        return self
+
+    def messages(self):
+        return messages_stream(
+            self.spark, "text", path=str(self.root / "in"), recursiveFileLookup="true"
+        )
+
+    def run(self, names):
+        query = start(
+            streaming_cells(decode(self.messages()), dimension(self.spark, names), self.settings),
+            lambda summary, batch: write_results(
+                summary, "parquet", batch, path=str(self.root / "out")
+            ),
+            str(self.root / "checkpoint"),
+            self.settings,
+            availableNow=True,
+        )
+        query.awaitTermination()
+        self.progress += query.recentProgress
+
+    def published(self):
+        if not (self.root / "out").exists():
+            return []
+        return collected(self.spark.read.parquet(str(self.root / "out")))
+
+    def dropped(self):
+        return sum(
+            op["numRowsDroppedByWatermark"] for p in self.progress for op in p["stateOperators"]
+        )
+
+
+BASIC = [(1, 1, 20, 50), (1, 30.5, 22, 60), (9, 2, 1, 1), (8, 3, 1, 1)]
+
+
+def test_window_closes_five_seconds_after_its_end(spark, tmp_path):
+    stream = Stream(spark, tmp_path).feed(BASIC).feed([(1, 65, 0, 0)])
+    assert stream.published() == expected(BASIC, NAMES)
+    assert [row[4] for row in stream.published()].count("Unknown") == 2
+
+
+def test_window_stays_open_just_before_that(spark, tmp_path):
+    stream = Stream(spark, tmp_path).feed(BASIC).feed([(1, 64.999, 0, 0)])
+    assert stream.published() == []
+
+
+def test_late_readings_are_dropped(spark, tmp_path):
+    stream = Stream(spark, tmp_path)
+    for rows in ([(1, 1, 20, 50)], [(1, 90, 20, 10)], [(1, 58, 20, 99)], [(1, 57, 20, 98)]):
+        stream.feed(rows)
+    stream.feed([(1, 180, 20, 20)])
+    assert stream.published() == expected([(1, 1, 20, 50), (1, 90, 20, 10)], NAMES)
+    assert stream.dropped() == 2
+
+
+def test_out_of_order_readings_within_the_delay_count(spark, tmp_path):
+    stream = Stream(spark, tmp_path).feed([(1, 59, 20, 50)]).feed([(1, 64, 30, 10)])
+    stream.feed([(1, 58, 24, 90)]).feed(LATER)
+    assert stream.published() == expected(
+        [(1, 59, 20, 50), (1, 58, 24, 90), (1, 64, 30, 10)], NAMES
+    )
+
+
+def test_names_are_those_at_processing_time(spark, tmp_path):
+    rows = [(1, 1, 20, 50), (9, 2, 1, 1), (8, 3, 1, 1)]
+    more = [(1, 31, 22, 60), (9, 32, 3, 3)]
+    stream = Stream(spark, tmp_path).feed(rows, {1: "T", 2: "H"})
+    stream.feed(more, {1: "A2", 2: "H", 9: "Nine"}).feed(LATER, {1: "other", 8: "too late"})
+    assert stream.published() == expected(rows + more, {1: "A2", 9: "Nine"})
+
+
+@pytest.mark.parametrize("limits", [Settings(), TIGHT], ids=["plain", "tight"])
+def test_stream_equals_batch_over_closed_windows(spark, tmp_path, limits):
+    rows = sorted(random_rows(900, seed=21), key=lambda r: r[1])
+    stream = Stream(spark, tmp_path, limits)
+    for part in range(0, len(rows), 300):
+        stream.feed(rows[part : part + 300])
+    end = max(r[1] for r in rows) - 5
+    closed = [r for r in rows if (r[1] // 60 + 1) * 60 <= end]
+    assert closed and stream.published() == expected(closed, NAMES)
+    batch = batch_summary(readings(spark, closed), dimension(spark, NAMES), limits)
+    assert collected(batch) == stream.published()
+
+
+def test_other_window_and_watermark(spark, tmp_path):
+    hourly = replace(Settings(), window="1 hour", watermark="10 minutes")
+    rows = [(1, 0, 20, 50), (1, 100, 22, 60)]
+    # 14:23 is 37 minutes before the hour is over.
+    stream = Stream(spark, tmp_path, hourly).feed(rows).feed([(1, (37 + 10) * 60, 0, 0)])
+    (row,) = stream.published()
+    assert row[2:] == (2, "14:00", "Temperature Sensor", 21.0, 55.0)
+
+
+def test_bad_message_stops_the_query(spark, tmp_path):
+    stream = Stream(spark, tmp_path)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "bad.txt").write_text('{"device_id":"a","type_id":1}\n')
+    with pytest.raises(JOB_FAILED):
+        stream.run(NAMES)
+
+
+def test_restart_repeats_nothing(spark, tmp_path):
+    stream = Stream(spark, tmp_path).feed(BASIC).feed(LATER)
+    stream.run(NAMES)
+    assert stream.published() == expected(BASIC, NAMES)
+
+
+def test_work_files_of_closed_windows_are_removed(spark, tmp_path):
+    from pathlib import Path
+
+    from gaugeworks.storage import shared_dir
+
+    Stream(spark, tmp_path).feed(BASIC).feed(LATER)
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    assert list(shared.glob("closed-*")) == []
+
+
+def test_session_settings_are_put_back(spark, tmp_path):
+    keys = [
+        "spark.sql.streaming.statefulOperator.allowMultiple",
+        "spark.sql.streaming.stateStore.providerClass",
+        "spark.sql.maxBroadcastTableSize",
+    ]
+    before = [spark.conf.get(key) for key in keys]
+    Stream(spark, tmp_path).feed(BASIC)
+    assert [spark.conf.get(key) for key in keys] == before
+
+
+def test_message_sink_through_run_available(spark, tmp_path):
+    stream = Stream(spark, tmp_path)
+    frame = readings(spark, BASIC + LATER).select(encode_reading().alias("value"))
+    frame.write.text(str(tmp_path / "in" / "0"))
+    cells = streaming_cells(decode(stream.messages()), dimension(spark, NAMES))
+    run_available(cells, str(tmp_path / "ck"), "text", path=str(tmp_path / "values"))
+    lines = sorted(r.value for r in spark.read.text(str(tmp_path / "values")).collect())
+    assert lines == [
+        '{"window_time":"14:23","type_name":"Temperature Sensor",'
+        '"avg_temperature":21.0,"median_humidity":55.0}',
+        '{"window_time":"14:23","type_name":"Unknown","avg_temperature":1.0,"median_humidity":1.0}',
+        '{"window_time":"14:23","type_name":"Unknown","avg_temperature":1.0,"median_humidity":1.0}',
+    ]
+
+
+def test_file_dimension_is_reopened_when_its_time_is_up(spark, tmp_path):
+    stream = Stream(spark, tmp_path, replace(Settings(), dimension_ttl_seconds=8))
+    batches = iter([[(1, 1, 20, 50)], [(1, 2, 30, 70)], LATER])
+    versions = iter([{1: "first"}, {1: "second"}, {1: "third"}])
+
+    def source():
+        rows = next(batches)
+        frame = readings(spark, rows).coalesce(1).select(encode_reading().alias("value"))
+        frame.write.text(str(tmp_path / "in" / str(stream.fed)))
+        stream.fed += 1
+        return decode(stream.messages())
+
+    run_refreshing(
+        source,
+        lambda: dimension(spark, next(versions)),
+        lambda summary, batch: write_results(
+            summary.withColumn("batch", F.lit(batch)), "parquet", batch, path=str(tmp_path / "out")
+        ),
+        str(tmp_path / "checkpoint"),
+        stream.settings,
+        rounds=3,
+        availableNow=True,
+    )
+    assert stream.published() == expected([(1, 1, 20, 50), (1, 2, 30, 70)], {1: "second"})
