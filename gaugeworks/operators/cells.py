@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gaugeworks.functions.exact_sum import PIECES, exact_sum_columns
 
-GROUP = ["window_start", "window_end", "type_id"]
+GROUP = ["window_start", "type_id"]
 
 
 def reading_cells(readings: DataFrame, window: str, seen_at: Column | None = None) -> DataFrame:
@@ -39,6 +39,5 @@ def reading_cells(readings: DataFrame, window: str, seen_at: Column | None = Non
     )
     return cells.select(
         F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
         *[c for c in cells.columns if c != "window"],
     )

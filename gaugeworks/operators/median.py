@@ -1,9 +1,10 @@
 """Second aggregation step: cells to one row per (window, type).
 
-A group's exact median is the humidity at its middle rank, or the mean of the two middle ones.
-Most groups have few distinct values, and a window over each group's cells finds the ranks. A
-group with more cells than one task should sort is instead range-partitioned by value: slice
-totals tell which slice holds the middle, and only that slice is looked into.
+Counts and temperature sums simply add up. A group's exact median is the humidity at its middle
+rank, or the mean of the two middle ones. Most groups have few distinct values, and a window over
+each group's cells finds the ranks. A group with more cells than one task should sort is instead
+range-partitioned by value: slice totals tell which slice holds the middle, and only that slice
+is looked into.
 """
 
 from __future__ import annotations
@@ -34,80 +35,90 @@ def fold_cells(
 
 def fold_staged(cells: DataFrame, settings: Settings, work: str) -> DataFrame:
     """``fold_cells`` for cells that are a stored table already."""
+    totals = _totals(cells)
     limit = settings.group_cells_per_task
     if cells.count() <= limit:
-        return _by_group(cells)
-
-    large = staged(
-        cells.groupBy(*GROUP)
-        .agg(F.count(F.lit(1)).alias("cells"))
-        .where(F.col("cells") > limit)
-        .select(*GROUP),
-        f"{work}/large",
-    )
-    n_large = large.count()
-    if n_large == 0:
-        return _by_group(cells)
+        return _result(totals, _medians_by_group(cells))
+
+    totals = staged(totals, f"{work}/totals")
+    large = totals.where(F.col("cells") > limit)
+    found = large.agg(F.count(F.lit(1)).alias("groups"), F.sum("cells").alias("cells")).first()
+    if found["groups"] == 0:
+        return _result(totals, _medians_by_group(cells))
 
-    split = {"broadcast": n_large <= settings.broadcast_max_rows, "salts": settings.salts}
+    large = large.select(*GROUP)
+    slices = max(2, -(-found["cells"] // limit))
+    split = {"broadcast": found["groups"] <= settings.broadcast_max_rows, "salts": settings.salts}
     small_cells = join_lookup(cells, large, GROUP, "left_anti", **split)
     large_cells = join_lookup(cells, large, GROUP, "left_semi", **split)
-    return _by_group(small_cells).unionByName(_by_range(large_cells, limit, work))
+    medians = _medians_by_group(small_cells).unionByName(
+        _medians_by_range(large_cells, slices, work)
+    )
+    return _result(totals, medians)
 
 
-def _totals(cells: DataFrame) -> list[Column]:
-    return [
-        F.sum("n").alias("n_events"),
-        *[F.sum(name).alias(name) for name in PIECES],
-        *(
-            [F.max_by("type_name", "seen_at").alias("type_name")]
-            if "type_name" in cells.columns
-            else []
-        ),
-    ]
+def _totals(cells: DataFrame) -> DataFrame:
+    added = [F.sum(name).alias(name) for name in ("n", *PIECES)]
+    if "type_name" not in cells.columns:
+        return cells.groupBy(*GROUP).agg(*added, F.count(F.lit(1)).alias("cells"))
+    # A string in an aggregation buffer would need sorted input. So the names are first a key of a
+    # hash aggregation, and only its few rows are looked through for the latest.
+    by_name = cells.groupBy(*GROUP, "type_name").agg(
+        *added, F.count(F.lit(1)).alias("cells"), F.max("seen_at").alias("seen_at")
+    )
+    return by_name.groupBy(*GROUP).agg(
+        *added,
+        F.sum("cells").alias("cells"),
+        F.max_by("type_name", "seen_at").alias("type_name"),
+    )
 
 
-def _result(groups: DataFrame) -> DataFrame:
-    total = exact_sum_value({name: F.col(name) for name in PIECES})
+def _result(totals: DataFrame, medians: DataFrame) -> DataFrame:
+    temperature = exact_sum_value({name: F.col(name) for name in PIECES})
     low, high = F.col("low"), F.col("high")
-    return groups.select(
+    return totals.join(medians, GROUP).select(
         *GROUP,
-        *(["type_name"] if "type_name" in groups.columns else []),
-        "n_events",
-        (total / F.col("n_events")).alias("mean_temperature"),
+        *(["type_name"] if "type_name" in totals.columns else []),
+        F.col("n").alias("n_events"),
+        (temperature / F.col("n")).alias("mean_temperature"),
         F.when(low == high, low).otherwise((low + high) / 2).alias("median_humidity"),
     )
 
 
-def _holds_middle(n: str, up_to: str, total: str) -> Column:
-    """Whether the ``n`` readings ending at position ``up_to`` of ``total`` include a middle one."""
-    lower = F.floor((F.col(total) - 1) / 2)
-    upper = F.floor(F.col(total) / 2)
-    return (F.col(up_to) > lower) & (F.col(up_to) - F.col(n) <= upper)
+def _positions(frame: DataFrame, keys: list[str], order: str, amount: str) -> DataFrame:
+    """Running sum ``up_to`` and overall sum ``total`` of ``amount`` within ``keys``."""
+    ordered = Window.partitionBy(*keys).orderBy(order)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    overall = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return frame.withColumns(
+        {"up_to": F.sum(amount).over(so_far), "total": F.sum(amount).over(overall)}
+    )
 
 
-def _by_group(cells: DataFrame) -> DataFrame:
-    """Groups of bounded size: one shuffle by group, then rank and total in place."""
-    ordered = Window.partitionBy(*GROUP).orderBy("humidity")
-    ranked = cells.withColumns(
-        {
-            "up_to": F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, 0)),
-            "total": F.sum("n").over(
-                ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            ),
-        }
-    )
-    middle = F.when(_holds_middle("n", "up_to", "total"), F.col("humidity"))
-    return _result(
-        ranked.groupBy(*GROUP).agg(
-            *_totals(cells), F.min(middle).alias("low"), F.max(middle).alias("high")
-        )
+def _holds_middle(amount: str) -> Column:
+    """Whether the ``amount`` readings ending at position ``up_to`` of ``total`` include a middle
+    one."""
+    lower = F.floor((F.col("total") - 1) / 2)
+    upper = F.floor(F.col("total") / 2)
+    return (F.col("up_to") > lower) & (F.col("up_to") - F.col(amount) <= upper)
+
+
+def _middle_values(cells: DataFrame) -> DataFrame:
+    """The lower and upper middle humidity, from the one or two cells that hold them."""
+    return cells.groupBy(*GROUP).agg(
+        F.min("humidity").alias("low"), F.max("humidity").alias("high")
     )
 
 
-def _by_range(cells: DataFrame, slice_cells: int, work: str) -> DataFrame:
-    """Groups of any size, in slices of about ``slice_cells`` cells each."""
-    slices = max(2, -(-cells.count() // slice_cells))
+def _medians_by_group(cells: DataFrame) -> DataFrame:
+    """Groups of bounded size: one shuffle by group, then everything in place."""
+    ranked = _positions(cells.select(*GROUP, "humidity", "n"), GROUP, "humidity", "n")
+    return _middle_values(ranked.where(_holds_middle("n")))
+
+
+def _medians_by_range(cells: DataFrame, slices: int, work: str) -> DataFrame:
+    """Groups of any size, in so many slices of about equal size."""
+    cells = cells.select(*GROUP, "humidity", "n")
     # The sampled slice bounds differ between runs of the same plan, so they are fixed by staging.
     sliced = staged(
         cells.repartitionByRange(slices, *GROUP, "humidity").withColumn(
@@ -118,30 +129,15 @@ def _by_range(cells: DataFrame, slice_cells: int, work: str) -> DataFrame:
 
     # At most one row per group and slice, so a group's window here has at most ``slices`` rows.
     by_slice = sliced.groupBy(*GROUP, "slice").agg(F.sum("n").alias("in_slice"))
-    ordered = Window.partitionBy(*GROUP).orderBy("slice")
-    positions = by_slice.withColumns(
-        {
-            "slice_up_to": F.sum("in_slice").over(ordered.rowsBetween(Window.unboundedPreceding, 0)),
-            "total": F.sum("in_slice").over(
-                ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            ),
-        }
-    )
-    targets = positions.where(_holds_middle("in_slice", "slice_up_to", "total")).select(
-        *GROUP, "slice", (F.col("slice_up_to") - F.col("in_slice")).alias("before"), "total"
+    targets = (
+        _positions(by_slice, GROUP, "slice", "in_slice")
+        .where(_holds_middle("in_slice"))
+        .select(*GROUP, "slice", (F.col("up_to") - F.col("in_slice")).alias("before"), "total")
     )
 
     within = Window.partitionBy(*GROUP, "slice").orderBy("humidity")
-    medians = (
-        sliced.select(*GROUP, "slice", "humidity", "n")
-        .join(targets, [*GROUP, "slice"])
-        .withColumn(
-            "up_to",
-            F.col("before") + F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0)),
-        )
-        .where(_holds_middle("n", "up_to", "total"))
-        .groupBy(*GROUP)
-        .agg(F.min("humidity").alias("low"), F.max("humidity").alias("high"))
+    so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = sliced.join(targets, [*GROUP, "slice"]).withColumn(
+        "up_to", F.col("before") + F.sum("n").over(so_far)
     )
-    totals = sliced.groupBy(*GROUP).agg(*_totals(sliced))
-    return _result(totals.join(medians, GROUP))
+    return _middle_values(ranked.where(_holds_middle("n")))

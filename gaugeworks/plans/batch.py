@@ -13,13 +13,12 @@ from gaugeworks.operators.median import fold_cells
 from gaugeworks.schema import RESULT_COLUMNS
 from gaugeworks.settings import DEFAULTS, Settings
 
-SUMMARY_COLUMNS = [*GROUP, "n_events", *RESULT_COLUMNS]
 
-
-def publishable(groups: DataFrame) -> DataFrame:
+def publishable(groups: DataFrame, settings: Settings) -> DataFrame:
     """Folded groups with names, as summary rows: the group's key and the published record."""
     return groups.select(
         *GROUP,
+        F.window("window_start", settings.window)["end"].alias("window_end"),
         "n_events",
         window_label(F.col("window_start")).alias("window_time"),
         "type_name",
@@ -40,13 +39,13 @@ def batch_summary(
     it is looked up once per group rather than once per reading.
     """
     groups = fold_cells(reading_cells(readings, settings.window), settings, work)
-    return publishable(lookup_join(groups, dimension, settings, may_repeat=False))
+    return publishable(lookup_join(groups, dimension, settings, may_repeat=False), settings)
 
 
 def named_summary(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Summary of readings that already carry ``type_name``."""
     cells = reading_cells(readings, settings.window, seen_at=F.current_timestamp())
-    return publishable(fold_cells(cells, settings))
+    return publishable(fold_cells(cells, settings), settings)
 
 
 def public_result(summary: DataFrame) -> DataFrame:

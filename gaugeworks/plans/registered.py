@@ -19,7 +19,6 @@ from gaugeworks.functions import (
     round_half_even_2,
     window_label,
 )
-from gaugeworks.operators.cells import GROUP
 from gaugeworks.operators.dimension import insert_ignore
 from gaugeworks.operators.lookup import lookup_join
 from gaugeworks.plans.batch import batch_summary, named_summary, public_result, sql_summary

@@ -83,7 +83,7 @@ def start(
         try:
             closed = staged(closed, f"{work}/cells")
             if not closed.isEmpty():
-                write(publishable(fold_staged(closed, settings, work)), batch_id)
+                write(publishable(fold_staged(closed, settings, work), settings), batch_id)
         finally:
             remove(closed.sparkSession, work)
 
