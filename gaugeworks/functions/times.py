@@ -16,19 +16,26 @@ def parse_iso(text: Column) -> Column:
     return F.to_timestamp(F.concat(text, F.lit("Z")), ISO_PATTERN + "X")
 
 
+def _digits(number: Column, width: int) -> Column:
+    return F.lpad(number.cast("string"), width, "0")
+
+
 def iso_text(ts: Column) -> Column:
     """The wire format with milliseconds, in UTC."""
     ms = epoch_ms(ts)
-    day_ms = F.lit(86_400_000)
-    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(ms / day_ms).cast("int"))
-    of_day = F.pmod(ms, day_ms)
-    return F.format_string(
-        "%sT%02d:%02d:%02d.%03dZ",
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(ms / 86_400_000).cast("int"))
+    of_day = F.pmod(ms, F.lit(86_400_000))
+    return F.concat(
         day.cast("string"),
-        F.floor(of_day / 3_600_000),
-        F.floor(of_day / 60_000) % 60,
-        F.floor(of_day / 1000) % 60,
-        of_day % 1000,
+        F.lit("T"),
+        _digits(F.floor(of_day / 3_600_000), 2),
+        F.lit(":"),
+        _digits(F.floor(of_day / 60_000) % 60, 2),
+        F.lit(":"),
+        _digits(F.floor(of_day / 1000) % 60, 2),
+        F.lit("."),
+        _digits(of_day % 1000, 3),
+        F.lit("Z"),
     )
 
 
@@ -44,6 +51,5 @@ def from_epoch_ms(ms: Column) -> Column:
 def window_label(window_start: Column) -> Column:
     """``HH:mm`` of a window start, in UTC whatever the session zone."""
     minute_of_day = F.pmod(F.floor(F.unix_seconds(window_start) / 60), F.lit(1440))
-    return F.format_string(
-        "%02d:%02d", F.floor(minute_of_day / 60).cast("int"), (minute_of_day % 60).cast("int")
-    )
+    hour, minute = F.floor(minute_of_day / 60), minute_of_day % 60
+    return F.concat(_digits(hour, 2), F.lit(":"), _digits(minute, 2))

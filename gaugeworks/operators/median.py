@@ -76,7 +76,9 @@ def _totals(cells: DataFrame) -> DataFrame:
 def _result(totals: DataFrame, medians: DataFrame) -> DataFrame:
     temperature = exact_sum_value({name: F.col(name) for name in PIECES})
     low, high = F.col("low"), F.col("high")
-    return totals.join(medians, GROUP).select(
+    # Both sides are partitioned by group already, so a merge join shuffles nothing more, and no
+    # size estimated from compressed files can turn it into an oversized broadcast.
+    return totals.join(medians.hint("merge"), GROUP).select(
         *GROUP,
         *(["type_name"] if "type_name" in totals.columns else []),
         F.col("n").alias("n_events"),
@@ -137,7 +139,7 @@ def _medians_by_range(cells: DataFrame, slices: int, work: str) -> DataFrame:
 
     within = Window.partitionBy(*GROUP, "slice").orderBy("humidity")
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = sliced.join(targets, [*GROUP, "slice"]).withColumn(
+    ranked = sliced.join(targets.hint("merge"), [*GROUP, "slice"]).withColumn(
         "up_to", F.col("before") + F.sum("n").over(so_far)
     )
     return _middle_values(ranked.where(_holds_middle("n")))

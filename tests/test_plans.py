@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gaugeworks.functions import decode, encode_reading
 from gaugeworks.operators.cells import reading_cells
 from gaugeworks.operators.lookup import lookup_join
+from gaugeworks.operators.median import fold_cells
 from gaugeworks.sources import sensor_table
 from helpers import dimension, readings
 
@@ -26,6 +27,7 @@ def message_files(spark, tmp_path):
 def test_messages_are_parsed_once(message_files):
     text = plan(reading_cells(decode(message_files), "1 minute"))
     assert text.count("from_json") == 1
+    assert text.count("gettimestamp") == 1
     assert "- Filter" not in text
 
 
@@ -54,3 +56,10 @@ def test_scan_reads_only_used_columns(spark, tmp_path):
     text = plan(reading_cells(sensor_table(spark.read.parquet(path)), "1 minute"))
     schema = re.search(r"ReadSchema: struct<(.*?)>", text).group(1)
     assert {field.split(":")[0] for field in schema.split(",")} == {"ts", "user_id", "value", "props"}
+
+
+def test_folding_shuffles_each_side_once_and_broadcasts_nothing(spark):
+    cells = reading_cells(readings(spark, [(1, 1, 20, 50), (2, 1, 20, 50)]), "1 minute")
+    text = plan(fold_cells(cells))
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "SortMergeJoin" in text and "Broadcast" not in text
