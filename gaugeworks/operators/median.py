@@ -47,12 +47,13 @@ def fold_staged(cells: DataFrame, settings: Settings, work: str) -> DataFrame:
         return _result(totals, _medians_by_group(cells))
 
     large = large.select(*GROUP)
-    slices = max(2, -(-found["cells"] // limit))
-    split = {"broadcast": found["groups"] <= settings.broadcast_max_rows, "salts": settings.salts}
+    slices = max(2, min(-(-found["cells"] // limit), settings.max_slices))
+    few = found["groups"] <= settings.broadcast_max_rows
+    split = {"broadcast": few, "salts": settings.salts}
     small_cells = join_lookup(cells, large, GROUP, "left_anti", **split)
     large_cells = join_lookup(cells, large, GROUP, "left_semi", **split)
     medians = _medians_by_group(small_cells).unionByName(
-        _medians_by_range(large_cells, slices, work)
+        _medians_by_range(large_cells, slices, few, work)
     )
     return _result(totals, medians)
 
@@ -118,8 +119,9 @@ def _medians_by_group(cells: DataFrame) -> DataFrame:
     return _middle_values(ranked.where(_holds_middle("n")))
 
 
-def _medians_by_range(cells: DataFrame, slices: int, work: str) -> DataFrame:
-    """Groups of any size, in so many slices of about equal size."""
+def _medians_by_range(cells: DataFrame, slices: int, few: bool, work: str) -> DataFrame:
+    """Groups of any size, in so many slices of about equal size; ``few`` such groups may be
+    broadcast."""
     cells = cells.select(*GROUP, "humidity", "n")
     # The sampled slice bounds differ between runs of the same plan, so they are fixed by staging.
     sliced = staged(
@@ -137,9 +139,11 @@ def _medians_by_range(cells: DataFrame, slices: int, work: str) -> DataFrame:
         .select(*GROUP, "slice", (F.col("up_to") - F.col("in_slice")).alias("before"), "total")
     )
 
+    # One or two slices per group, so the rest of the cells need not be shuffled again.
+    targets = targets.hint("broadcast" if few else "merge")
     within = Window.partitionBy(*GROUP, "slice").orderBy("humidity")
     so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = sliced.join(targets.hint("merge"), [*GROUP, "slice"]).withColumn(
+    ranked = sliced.join(targets, [*GROUP, "slice"]).withColumn(
         "up_to", F.col("before") + F.sum("n").over(so_far)
     )
     return _middle_values(ranked.where(_holds_middle("n")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.rounding import round_half_even_2
@@ -53,25 +53,27 @@ def public_result(summary: DataFrame) -> DataFrame:
     return summary.select(*RESULT_COLUMNS)
 
 
-# The enrichment as SQL, over two views.
 ENRICH_SQL = """
 SELECT e.device_id, e.type_id, e.temperature, e.humidity, e.event_time,
-       coalesce(dt.type_name, '{fallback}') AS type_name
+       coalesce(dt.type_name, :fallback) AS type_name
 FROM iot_events AS e LEFT JOIN device_types AS dt ON e.type_id = dt.id
 """
 
 
-def sql_summary(
-    spark: SparkSession,
-    readings: DataFrame,
-    dimension: DataFrame,
-    settings: Settings = DEFAULTS,
+def sql_enriched(
+    readings: DataFrame, dimension: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
-    """The same summary with the enrichment written in SQL.
+    """The lookup join written in SQL over two views; ``readings`` may be a stream.
 
     No join hint: Spark broadcasts the dimension only if it is below its own size threshold.
     """
     readings.createOrReplaceTempView("iot_events")
     dimension.createOrReplaceTempView("device_types")
-    enriched = spark.sql(ENRICH_SQL.format(fallback=settings.fallback_name))
-    return named_summary(enriched, settings)
+    return readings.sparkSession.sql(ENRICH_SQL, args={"fallback": settings.fallback_name})
+
+
+def sql_summary(
+    readings: DataFrame, dimension: DataFrame, settings: Settings = DEFAULTS
+) -> DataFrame:
+    """The summary with its enrichment in SQL."""
+    return named_summary(sql_enriched(readings, dimension, settings), settings)

@@ -183,7 +183,7 @@ def window_latest_type_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_window_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(
-        sql_summary(spark, readings_table(spark, sf_dir), regions(spark, sf_dir), HOUR)
+        sql_summary(readings_table(spark, sf_dir), regions(spark, sf_dir), HOUR)
     )
 
 

@@ -52,7 +52,7 @@ def test_named_and_sql_summaries_agree(spark, limits):
     df, dim = readings(spark, rows), dimension(spark, NAMES)
     want = expected(rows, NAMES)
     assert collected(named_summary(lookup_join(df, dim, limits), limits)) == want
-    assert collected(sql_summary(spark, df, dim, limits)) == want
+    assert collected(sql_summary(df, dim, limits)) == want
 
 
 def test_order_and_partitioning_do_not_matter(spark):

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from gaugeworks import Settings, batch_summary
 from gaugeworks.functions import decode, encode_reading
+from gaugeworks.operators.cells import reading_cells
+from gaugeworks.plans.batch import sql_enriched
 from gaugeworks.sources import messages_stream, write_results
 from gaugeworks.streaming import run_available, run_refreshing, start, streaming_cells
 from helpers import JOB_FAILED, collected, dimension, expected, readings
@@ -158,6 +160,17 @@ def test_session_settings_are_put_back(spark, tmp_path):
     assert [spark.conf.get(key) for key in keys] == before
 
 
+def test_enrichment_in_sql_works_on_a_stream(spark, tmp_path):
+    stream = Stream(spark, tmp_path)
+    frame = readings(spark, BASIC + LATER).select(encode_reading().alias("value"))
+    frame.write.text(str(tmp_path / "in" / "0"))
+    timed = decode(stream.messages()).withWatermark("event_time", "5 seconds")
+    named = sql_enriched(timed, dimension(spark, NAMES))
+    cells = reading_cells(named, "1 minute", seen_at=F.current_timestamp())
+    run_available(cells, str(tmp_path / "ck"), "parquet", path=str(tmp_path / "out"))
+    assert stream.published() == expected(BASIC, NAMES)
+
+
 def test_message_sink_through_run_available(spark, tmp_path):
     stream = Stream(spark, tmp_path)
     frame = readings(spark, BASIC + LATER).select(encode_reading().alias("value"))
