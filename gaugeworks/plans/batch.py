@@ -54,9 +54,9 @@ def public_result(summary: DataFrame) -> DataFrame:
 
 
 ENRICH_SQL = """
-SELECT e.device_id, e.type_id, e.temperature, e.humidity, e.event_time,
-       coalesce(dt.type_name, :fallback) AS type_name
-FROM iot_events AS e LEFT JOIN device_types AS dt ON e.type_id = dt.id
+SELECT readings.*, coalesce(names.type_name, :fallback) AS type_name
+FROM iot_events AS readings
+LEFT JOIN device_types AS names ON names.id = readings.type_id
 """
 
 

@@ -231,14 +231,16 @@ def _replay(
 ) -> DataFrame:
     """Stream ``readings`` as JSON messages, those with ``arrival`` 0 first, then 1, and so on.
 
-    Each arrival is written out and processed before the next one is, on the same checkpoint.
+    The messages are written in one pass. Each run of the query, all on one checkpoint, is shown
+    one more arrival than the run before.
     """
     work = scratch_path(spark, "replay")
+    messages = readings.select(encode_reading().alias("value"), "arrival")
+    messages.write.partitionBy("arrival").text(f"{work}/in")
     for arrival in range(arrivals):
-        arriving = readings.where(F.col("arrival") == arrival)
-        arriving.select(encode_reading().alias("value")).write.text(f"{work}/in/{arrival}")
+        shown = ",".join(str(number) for number in range(arrival + 1))
         stream = messages_stream(
-            spark, "text", path=f"{work}/in", recursiveFileLookup="true"
+            spark, "text", path=f"{work}/in/arrival={{{shown}}}", recursiveFileLookup="true"
         )
         run_available(
             streaming_cells(decode(stream), dimension(arrival), settings),

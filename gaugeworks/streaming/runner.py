@@ -46,6 +46,8 @@ def _query_conf(settings: Settings) -> dict[str, str]:
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # Counting state rows would cost one more read per write.
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
         # The dimension is measured at start. Should it outgrow the bound while running, the
         # batch fails, and the restart measures again and joins without broadcasting.
         "spark.sql.maxBroadcastTableSize": str(16 * settings.broadcast_max_bytes),
