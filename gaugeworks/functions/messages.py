@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from gaugeworks.functions.times import epoch_ms, from_epoch_ms, iso_text, parse_iso
 from gaugeworks.schema import MESSAGE, RESULT_COLUMNS
@@ -26,21 +27,30 @@ def required(event_time: Column, *others: Column) -> Column:
     )
 
 
+# A message between a prefix and a suffix. The parser stops after the first value of a text, so by
+# itself it would pass over anything that follows, even a second reading. Inside another object
+# that is a syntax error, or leaves out the closing mark.
+_ENCLOSED = StructType([StructField("message", MESSAGE), StructField("whole", BooleanType())])
+_STRICT = {"mode": "FAILFAST", "allowSingleQuotes": "false"}
+
+
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """Message text to readings, strictly: anything malformed, mistyped or missing fails the job."""
-    parsed = messages.select(
-        F.from_json(F.col(value).cast("string"), MESSAGE, {"mode": "FAILFAST"}).alias("m")
+    enclosed = F.concat(
+        F.lit('{"message":'), F.col(value).cast("string"), F.lit(',"whole":true}')
     )
+    parsed = messages.select(F.from_json(enclosed, _ENCLOSED, _STRICT).alias("m"))
     readings = parsed.select(
-        "m.device_id",
-        "m.type_id",
-        "m.temperature",
-        "m.humidity",
-        from_epoch_ms(epoch_ms(parse_iso(F.col("m.event_time")))).alias("event_time"),
+        "m.message.device_id",
+        "m.message.type_id",
+        "m.message.temperature",
+        "m.message.humidity",
+        from_epoch_ms(epoch_ms(parse_iso(F.col("m.message.event_time")))).alias("event_time"),
+        "m.whole",
     )
     # A projection of its own, so that the time is parsed once although it is used twice here.
     others = [F.col(name) for name in readings.columns if name != "event_time"]
-    return readings.withColumn("event_time", required(F.col("event_time"), *others))
+    return readings.withColumn("event_time", required(F.col("event_time"), *others)).drop("whole")
 
 
 def encode_reading() -> Column:

@@ -17,8 +17,8 @@ class Settings:
     # A lookup side is broadcast only when measured to be within both bounds.
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 64 * 1024 * 1024
-    # Copies of each lookup row when it is too large to broadcast; a hot key spreads over
-    # this many tasks.
+    # Copies of each lookup row when it is too large to broadcast; a hot key spreads over this
+    # many partitions, and in batch adaptive execution splits those further if they are skewed.
     salts: int = 64
 
     # Distinct humidity values one (window, type) may bring into a single task. Groups above

@@ -29,11 +29,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, path: str) -> DataFrame:
+def staged(df: DataFrame, path: str, reader: SparkSession | None = None) -> DataFrame:
     """``df`` written once as a table at ``path``, so that later passes neither recompute it nor
-    depend on the executors that produced it, and read only the columns they use."""
+    depend on the executors that produced it, and read only the columns they use. ``reader`` is the
+    session of the result, if not that of ``df``."""
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return (reader or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -79,17 +79,19 @@ def start(
 ) -> StreamingQuery:
     """Start the query; ``write(summary, batch_id)`` receives the summaries of closed windows."""
 
+    spark = cells.sparkSession
+
     def fold(closed: DataFrame, batch_id: int) -> None:
-        # Read once and whole, to be stored; after that the state is not touched again.
-        work = scratch_path(closed.sparkSession, "closed")
+        # Read once and whole, to be stored; after that the state is not touched again. The rest
+        # runs in the caller's session: a query's own has adaptive execution switched off.
+        work = scratch_path(spark, "closed")
         try:
-            closed = staged(closed, f"{work}/cells")
-            if not closed.isEmpty():
-                write(publishable(fold_staged(closed, settings, work), settings), batch_id)
+            cells_closed = staged(closed, f"{work}/cells", spark)
+            if not cells_closed.isEmpty():
+                write(publishable(fold_staged(cells_closed, settings, work), settings), batch_id)
         finally:
-            remove(closed.sparkSession, work)
+            remove(spark, work)
 
-    spark = cells.sparkSession
     writer = cells.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     with _session_conf(spark, _query_conf(settings)):
         return writer.foreachBatch(fold).trigger(**trigger).start()

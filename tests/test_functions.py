@@ -177,6 +177,11 @@ def test_decode_cuts_to_milliseconds(spark):
     assert decode(texts(spark, text)).first().event_time == datetime(2024, 1, 15, 14, 23, 1, 123000)
 
 
+def test_surrounding_space_and_repeated_fields(spark):
+    text = "  " + GOOD[:-1] + ',"humidity":1.5}  '
+    assert decode(texts(spark, text)).first().humidity == 1.5
+
+
 def test_bare_nan_passes(spark):
     assert math.isnan(decode(texts(spark, GOOD.replace("27.45", "NaN"))).first().temperature)
 
@@ -190,6 +195,17 @@ BAD = {
     "missing humidity": GOOD.replace(',"humidity":61.2', ""),
     "null device": GOOD.replace('"device_3_002"', "null"),
     "null message": None,
+    "text after it": GOOD + " and more",
+    "second message after it": GOOD + GOOD,
+    "second message after a comma": GOOD + "," + GOOD,
+    "closed twice": GOOD + "}",
+    "closed twice and a second message": GOOD + "}" + GOOD,
+    "in a list": "[" + GOOD + "]",
+    "only a list end": GOOD + "]",
+    "comment after it": GOOD + " // checked",
+    "single quotes": GOOD.replace('"', "'"),
+    "empty": "",
+    "null literal": "null",
     "type as text": GOOD.replace(":3,", ':"3",'),
     "type as fraction": GOOD.replace(":3,", ":3.7,"),
     "bad time": GOOD.replace("01.000Z", "01Z"),
