@@ -27,19 +27,22 @@ def required(event_time: Column, *others: Column) -> Column:
     )
 
 
-# A message between a prefix and a suffix. The parser stops after the first value of a text, so by
-# itself it would pass over anything that follows, even a second reading. Inside another object
-# that is a syntax error, or leaves out the closing mark.
-_ENCLOSED = StructType([StructField("message", MESSAGE), StructField("whole", BooleanType())])
-_STRICT = {"mode": "FAILFAST", "allowSingleQuotes": "false"}
+def parse_whole(value: Column, schema: StructType) -> Column:
+    """``value`` as a struct of ``message``, in the given schema, and ``whole``, true if nothing
+    else is in the text. Malformed and mistyped text fails the job.
+
+    The parser stops after the first value of a text, so by itself it would pass over anything that
+    follows, even a second message. Inside another object that is a syntax error, or leaves out the
+    closing mark.
+    """
+    enclosed = F.concat(F.lit('{"message":'), value.cast("string"), F.lit(',"whole":true}'))
+    both = StructType([StructField("message", schema), StructField("whole", BooleanType())])
+    return F.from_json(enclosed, both, {"mode": "FAILFAST", "allowSingleQuotes": "false"})
 
 
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """Message text to readings, strictly: anything malformed, mistyped or missing fails the job."""
-    enclosed = F.concat(
-        F.lit('{"message":'), F.col(value).cast("string"), F.lit(',"whole":true}')
-    )
-    parsed = messages.select(F.from_json(enclosed, _ENCLOSED, _STRICT).alias("m"))
+    parsed = messages.select(parse_whole(F.col(value), MESSAGE).alias("m"))
     readings = parsed.select(
         "m.message.device_id",
         "m.message.type_id",

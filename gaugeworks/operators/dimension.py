@@ -19,9 +19,8 @@ SEED = [
 
 def ensure(spark: SparkSession, table: str = "device_types") -> None:
     """Create the dimension table unless it exists."""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} (id INT NOT NULL, type_name STRING NOT NULL) USING parquet"
-    )
+    columns = "id INT NOT NULL, type_name STRING NOT NULL"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet")
 
 
 def missing_rows(existing: DataFrame, new: DataFrame) -> DataFrame:

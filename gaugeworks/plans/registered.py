@@ -127,7 +127,9 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _zoneless(_enriched(spark, sf_dir)).select("device_id", "type_id", "event_time", "type_name")
+    return _zoneless(_enriched(spark, sf_dir)).select(
+        "device_id", "type_id", "event_time", "type_name"
+    )
 
 
 def coalesce_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +156,9 @@ def tumbling_window_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
         readings_table(spark, sf_dir)
         .groupBy(F.window("event_time", DEFAULTS.window).alias("w"))
         .agg(F.count("*").alias("n_events"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_events")
+        .select(
+            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_events"
+        )
     )
 
 
@@ -266,7 +270,8 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_lookup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Between the two arrivals, in the middle of a day's window, every name changes."""
-    arrival = F.when(F.col("ts") < F.lit("2024-01-16 12:00:00").cast("timestamp_ntz"), 0).otherwise(1)
+    change = F.lit("2024-01-16 12:00:00").cast("timestamp_ntz")
+    arrival = F.when(F.col("ts") < change, 0).otherwise(1)
     readings = _readings_arriving(spark, sf_dir, arrival)
     versions = [regions(spark, sf_dir), nations(spark, sf_dir)]
     return _replay(spark, readings, 2, lambda number: versions[number], DAY)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.messages import required
+from gaugeworks.functions.messages import parse_whole, required
 from gaugeworks.schema import DEVICE_TYPES, RESULT
 
 # Where the job's messages and results are kept.
@@ -18,26 +18,24 @@ OUTPUT_TOPIC = "iot-aggregated"
 DIMENSION_TABLE = "device_types"
 
 
-def _text_value(frame: DataFrame) -> DataFrame:
+def _values(reader, fmt: str, log: dict[str, str], options: dict[str, str]) -> DataFrame:
+    """Message values only; ``log`` are the options that apply to the message log."""
+    path = options.pop("path", None)
+    if fmt == "kafka":
+        options = {**log, **options}
+    frame = reader.format(fmt).options(**options).load(path)
     return frame.select(F.col("value").cast("string").alias("value"))
 
 
 def messages_stream(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
     """Unbounded message values. A first start on ``kafka`` begins at the newest message."""
-    reader = spark.readStream.format(fmt)
-    if fmt == "kafka":
-        reader = reader.options(subscribe=INPUT_TOPIC, startingOffsets="latest")
-    path = options.pop("path", None)
-    return _text_value(reader.options(**options).load(path))
+    log = {"subscribe": INPUT_TOPIC, "startingOffsets": "latest"}
+    return _values(spark.readStream, fmt, log, options)
 
 
 def messages(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
     """The same values, bounded."""
-    reader = spark.read.format(fmt)
-    if fmt == "kafka":
-        reader = reader.options(subscribe=INPUT_TOPIC)
-    path = options.pop("path", None)
-    return _text_value(reader.options(**options).load(path))
+    return _values(spark.read, fmt, {"subscribe": INPUT_TOPIC}, options)
 
 
 def dimension(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
@@ -80,7 +78,10 @@ def sensor_table(events: DataFrame, *keep: str) -> DataFrame:
 
 def decode_results(values: DataFrame) -> DataFrame:
     """Published message values as records, with the viewer's defaults for missing fields."""
-    record = values.select(F.from_json("value", RESULT, {"mode": "FAILFAST"}).alias("r"))
+    parsed = values.select(parse_whole(F.col("value"), RESULT).alias("m"))
+    usable = F.col("m.whole") & F.col("m.message").isNotNull()
+    failure = F.raise_error(F.lit("published value that is not one record"))
+    record = parsed.select(F.coalesce(F.when(usable, F.col("m.message")), failure).alias("r"))
     return record.select(
         F.coalesce("r.window_time", F.lit("?")).alias("window_time"),
         F.coalesce("r.type_name", F.lit("?")).alias("type_name"),
@@ -91,8 +92,5 @@ def decode_results(values: DataFrame) -> DataFrame:
 
 def results(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
     """Everything published so far, from the earliest record on."""
-    reader = spark.read.format(fmt)
-    if fmt == "kafka":
-        reader = reader.options(subscribe=OUTPUT_TOPIC, startingOffsets="earliest")
-    path = options.pop("path", None)
-    return decode_results(_text_value(reader.options(**options).load(path)))
+    log = {"subscribe": OUTPUT_TOPIC, "startingOffsets": "earliest"}
+    return decode_results(_values(spark.read, fmt, log, options))

@@ -13,7 +13,9 @@ def kafka_options(**options: str) -> dict[str, str]:
     return {"topic": OUTPUT_TOPIC, **options}
 
 
-def write_results(summary: DataFrame, fmt: str, batch_id: int | None = None, **options: str) -> None:
+def write_results(
+    summary: DataFrame, fmt: str, batch_id: int | None = None, **options: str
+) -> None:
     """Write a summary: ``kafka`` and ``text`` as JSON values, ``console`` printed, any other
     format as columns.
 

@@ -4,7 +4,7 @@ from gaugeworks import job
 from gaugeworks.operators.dimension import SEED, ensure, insert_ignore, seed
 from gaugeworks.sources import dimension as read_dimension
 from gaugeworks.sources import inputs, kafka_options, messages, results, write_results
-from helpers import dimension
+from helpers import JOB_FAILED, dimension
 
 
 def as_dict(df):
@@ -23,7 +23,8 @@ def test_table_is_created_and_seeded_once(spark):
     for _ in range(2):
         ensure(spark, table)
         seed(spark, rows, table)
-    seed(spark, spark.createDataFrame([(1, "x"), (6, "Gas Sensor")], "id int, type_name string"), table)
+    more = spark.createDataFrame([(1, "x"), (6, "Gas Sensor")], "id int, type_name string")
+    seed(spark, more, table)
     got = read_dimension(spark, "table", name=table)
     assert as_dict(got) == {**dict(SEED), 6: "Gas Sensor"} and got.count() == 6
     spark.sql(f"DROP TABLE {table}")
@@ -59,6 +60,13 @@ def test_read_back_defaults(spark):
     assert got == [("?", "?", 0.0, 0.0), ("?", "A", 0.0, 0.0)]
 
 
+@pytest.mark.parametrize("bad", ["null", "{} {}", "[{}]", "text", None])
+def test_read_back_of_anything_else_fails(spark, bad):
+    values = spark.createDataFrame([("{}",), (bad,)], "value string")
+    with pytest.raises(JOB_FAILED):
+        inputs.decode_results(values).collect()
+
+
 def test_repeated_batch_replaces_its_files(spark, tmp_path):
     path = str(tmp_path / "out")
     frame = spark.createDataFrame(SAMPLE, RESULT_DDL)

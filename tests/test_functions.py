@@ -1,7 +1,7 @@
 import math
 import random
 import statistics
-from datetime import datetime, timezone
+from datetime import datetime
 
 import pytest
 from hypothesis import given, settings

@@ -1,0 +1,41 @@
+from types import SimpleNamespace
+
+import pytest
+
+from gaugeworks.storage import remove, scratch_path, shared_dir, staged
+
+
+def session(master, configured=None):
+    made = []
+    context = SimpleNamespace(
+        master=master,
+        setCheckpointDir=made.append,
+        getCheckpointDir=lambda: made[-1] if made else None,
+    )
+    conf = SimpleNamespace(get=lambda key, default: configured or default)
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_configured_folder_is_used_everywhere():
+    for master in ("local[2]", "yarn", "spark://host:7077"):
+        assert shared_dir(session(master, "hdfs:///shared")) == "hdfs:///shared"
+
+
+def test_cluster_without_a_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+        shared_dir(session("yarn"))
+
+
+def test_local_session_gets_one_temporary_folder():
+    local = session("local[2]")
+    assert shared_dir(local) == shared_dir(local)
+
+
+def test_paths_are_fresh_and_tables_removable(spark):
+    assert scratch_path(spark, "a") != scratch_path(spark, "a")
+    path = scratch_path(spark, "t")
+    table = staged(spark.range(5), path)
+    assert table.count() == 5 and path.startswith(shared_dir(spark))
+    remove(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

@@ -139,6 +139,23 @@ def test_restart_repeats_nothing(spark, tmp_path):
     assert stream.published() == expected(BASIC, NAMES)
 
 
+def test_batch_whose_sink_failed_is_repeated(spark, tmp_path):
+    stream = Stream(spark, tmp_path).feed(BASIC)
+    frame = readings(spark, LATER).select(encode_reading().alias("value"))
+    frame.write.text(str(tmp_path / "in" / "later"))
+
+    def broken(summary, batch):
+        write_results(summary.limit(1), "parquet", batch, path=str(tmp_path / "out"))
+        raise RuntimeError("sink is gone")
+
+    cells = streaming_cells(decode(stream.messages()), dimension(spark, NAMES))
+    with pytest.raises(JOB_FAILED):
+        start(cells, broken, str(tmp_path / "checkpoint"), availableNow=True).awaitTermination()
+    assert len(stream.published()) == 1
+    stream.run(NAMES)
+    assert stream.published() == expected(BASIC, NAMES)
+
+
 def test_work_files_of_closed_windows_are_removed(spark, tmp_path):
     from pathlib import Path
 
