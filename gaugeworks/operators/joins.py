@@ -36,4 +36,5 @@ def join_lookup(
         salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts))
     spread = left.withColumn(SALT, salt.cast("int"))
     repeated = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(repeated, [*keys, SALT], how).drop(SALT)
+    # Left to its own size estimate, Spark might broadcast all the copies.
+    return spread.join(repeated.hint("merge"), [*keys, SALT], how).drop(SALT)

@@ -36,24 +36,25 @@ def fold_cells(
 def fold_staged(cells: DataFrame, settings: Settings, work: str) -> DataFrame:
     """``fold_cells`` for cells that are a stored table already."""
     totals = _totals(cells)
+    values = cells.select(*GROUP, "humidity", "n")
     limit = settings.group_cells_per_task
     if cells.count() <= limit:
-        return _result(totals, _medians_by_group(cells))
+        return _result(totals, _medians_by_group(values))
 
     totals = staged(totals, f"{work}/totals")
     large = totals.where(F.col("cells") > limit)
     found = large.agg(F.count(F.lit(1)).alias("groups"), F.sum("cells").alias("cells")).first()
     if found["groups"] == 0:
-        return _result(totals, _medians_by_group(cells))
+        return _result(totals, _medians_by_group(values))
 
     large = large.select(*GROUP)
     slices = max(2, min(-(-found["cells"] // limit), settings.max_slices))
     few = found["groups"] <= settings.broadcast_max_rows
     split = {"broadcast": few, "salts": settings.salts}
-    small_cells = join_lookup(cells, large, GROUP, "left_anti", **split)
-    large_cells = join_lookup(cells, large, GROUP, "left_semi", **split)
-    medians = _medians_by_group(small_cells).unionByName(
-        _medians_by_range(large_cells, slices, few, work)
+    small_values = join_lookup(values, large, GROUP, "left_anti", **split)
+    large_values = join_lookup(values, large, GROUP, "left_semi", **split)
+    medians = _medians_by_group(small_values).unionByName(
+        _medians_by_range(large_values, slices, few, work)
     )
     return _result(totals, medians)
 
@@ -115,14 +116,13 @@ def _middle_values(cells: DataFrame) -> DataFrame:
 
 def _medians_by_group(cells: DataFrame) -> DataFrame:
     """Groups of bounded size: one shuffle by group, then everything in place."""
-    ranked = _positions(cells.select(*GROUP, "humidity", "n"), GROUP, "humidity", "n")
+    ranked = _positions(cells, GROUP, "humidity", "n")
     return _middle_values(ranked.where(_holds_middle("n")))
 
 
 def _medians_by_range(cells: DataFrame, slices: int, few: bool, work: str) -> DataFrame:
     """Groups of any size, in so many slices of about equal size; ``few`` such groups may be
     broadcast."""
-    cells = cells.select(*GROUP, "humidity", "n")
     # The sampled slice bounds differ between runs of the same plan, so they are fixed by staging.
     sliced = staged(
         cells.repartitionByRange(slices, *GROUP, "humidity").withColumn(

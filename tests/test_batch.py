@@ -174,9 +174,9 @@ def test_size_of_the_dimension_decides(spark):
     def plan(settings):
         return lookup_join(df, dim, settings)._jdf.queryExecution().toString()
 
-    assert "ResolvedHint (strategy=broadcast)" in plan(Settings())
-    assert "ResolvedHint" not in plan(replace(Settings(), broadcast_max_rows=1))
-    assert "ResolvedHint" not in plan(replace(Settings(), broadcast_max_bytes=10))
+    assert "BroadcastHashJoin" in plan(Settings())
+    assert "BroadcastHashJoin" not in plan(replace(Settings(), broadcast_max_rows=1))
+    assert "BroadcastHashJoin" not in plan(replace(Settings(), broadcast_max_bytes=10))
 
 
 @pytest.mark.parametrize("bad", [[(1, "a"), (1, "b")], [(None, "a")]])

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from gaugeworks import Settings
 from gaugeworks.functions import decode, encode_reading
 from gaugeworks.operators.cells import reading_cells
 from gaugeworks.operators.lookup import lookup_join
@@ -64,3 +65,10 @@ def test_folding_shuffles_each_side_once_and_broadcasts_nothing(spark):
     text = plan(fold_cells(cells))
     assert text.count("Exchange hashpartitioning") == 2
     assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
+def test_large_dimension_is_never_broadcast(spark):
+    few = Settings(broadcast_max_rows=1)
+    dim = dimension(spark, {1: "a", 2: "b"})
+    text = plan(lookup_join(readings(spark, [(1, 1, 20, 50)]), dim, few))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
