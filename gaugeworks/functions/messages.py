@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
@@ -10,21 +12,22 @@ from gaugeworks.functions.times import epoch_ms, from_epoch_ms, iso_text, parse_
 from gaugeworks.schema import MESSAGE, RESULT_COLUMNS
 
 
-def required(event_time: Column, *others: Column) -> Column:
-    """``event_time``, failing the job on a row where it or any other given field is null.
+def required(column: Column, *others: Column, never: object) -> Column:
+    """``column``, failing the job on a row where it or any of ``others`` is null.
 
-    The check sits on ``event_time`` because every summary uses it; on an unused column the
-    optimizer would prune it away. The last ``coalesce`` argument is never reached: it marks the
-    column as not null, so that ``window()`` adds no null filter. Such a filter would be pushed
-    below the projection and evaluate the whole decoding a second time for every row.
+    The column has to be one that is used in any case; an unused one is pruned, and the check with
+    it. ``never`` is a value of the column's type that is not reached: it marks the column as not
+    null. ``window()`` would otherwise add a null filter on its event time, which is pushed below
+    the projection and evaluates the whole decoding a second time for every row.
     """
-    complete = event_time.isNotNull()
+    complete = column.isNotNull()
     for field in others:
         complete = complete & field.isNotNull()
-    failure = F.raise_error(F.lit("reading with a missing or unusable field")).cast("timestamp")
-    return F.coalesce(
-        F.when(complete, event_time), failure, F.timestamp_millis(F.lit(0))
-    )
+    failure = F.raise_error(F.lit("reading with a missing or unusable field"))
+    return F.coalesce(F.when(complete, column), failure, F.lit(never))
+
+
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 def parse_whole(value: Column, schema: StructType) -> Column:
@@ -53,7 +56,8 @@ def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     )
     # A projection of its own, so that the time is parsed once although it is used twice here.
     others = [F.col(name) for name in readings.columns if name != "event_time"]
-    return readings.withColumn("event_time", required(F.col("event_time"), *others)).drop("whole")
+    event_time = required(F.col("event_time"), *others, never=EPOCH)
+    return readings.withColumn("event_time", event_time).drop("whole")
 
 
 def encode_reading() -> Column:

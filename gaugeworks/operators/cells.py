@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.functions.exact_sum import PIECES, exact_sum_columns
+from gaugeworks.functions.messages import EPOCH, required
 
 GROUP = ["window_start", "type_id"]
 
@@ -24,11 +25,16 @@ def reading_cells(readings: DataFrame, window: str, seen_at: Column | None = Non
     """
     named = seen_at is not None
     temperature = exact_sum_columns(F.col("temperature"))
+    # Readings from elsewhere than ``decode`` may hold nulls, which have no place in a summary. In a
+    # stream the event time has to stay the column the watermark is on, so it is not checked here.
+    humidity = required(F.col("humidity"), F.col("temperature"), F.col("type_id"), never=0.0)
+    if not readings.isStreaming:
+        readings = readings.withColumn("event_time", required(F.col("event_time"), never=EPOCH))
     keys = [F.window("event_time", window).alias("window"), F.col("type_id"), F.col("humidity")]
     prepared = readings.select(
         "event_time",
         "type_id",
-        "humidity",
+        humidity.alias("humidity"),
         *([F.col("type_name"), seen_at.alias("seen_at")] if named else []),
         *[piece.alias(name) for name, piece in temperature.items()],
     )

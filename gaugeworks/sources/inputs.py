@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.messages import parse_whole, required
+from gaugeworks.functions.messages import EPOCH, parse_whole, required
 from gaugeworks.schema import DEVICE_TYPES, RESULT
 
 # Where the job's messages and results are kept.
@@ -72,7 +72,11 @@ def sensor_table(events: DataFrame, *keep: str) -> DataFrame:
         *keep,
     ).withColumn(
         "event_time",
-        required(F.col("event_time"), *[F.col(c) for c in ("type_id", "temperature", "humidity")]),
+        required(
+            F.col("event_time"),
+            *[F.col(name) for name in ("type_id", "temperature", "humidity")],
+            never=EPOCH,
+        ),
     )
 
 

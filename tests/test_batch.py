@@ -10,7 +10,7 @@ from gaugeworks.operators.cells import reading_cells
 from gaugeworks.operators.lookup import lookup_join, measure
 from gaugeworks.operators.median import fold_cells
 from gaugeworks.plans.batch import named_summary, sql_summary
-from helpers import collected, dimension, expected, readings
+from helpers import JOB_FAILED, collected, dimension, expected, readings
 
 NAMES = {1: "Temperature Sensor", 2: "Humidity Sensor"}
 # Bounds so low that every group is range-partitioned and every lookup is salted.
@@ -136,6 +136,15 @@ def test_nan_temperature_makes_the_mean_nan(spark):
     assert got[1].avg_temperature == 20.0
 
 
+@pytest.mark.parametrize("column", ["type_id", "temperature", "humidity", "event_time"])
+def test_null_in_a_reading_fails_the_job(spark, column):
+    good = readings(spark, [(1, 1, 20, 50), (1, 2, 20, 60)])
+    first = F.col("humidity") == 50
+    bad = good.withColumn(column, F.when(first, F.lit(None)).otherwise(F.col(column)))
+    with pytest.raises(JOB_FAILED):
+        batch_summary(bad, dimension(spark, NAMES)).collect()
+
+
 def test_empty_input(spark):
     got = batch_summary(readings(spark, []), dimension(spark, NAMES))
     assert got.collect() == []
