@@ -16,7 +16,6 @@ def join_lookup(
     *,
     broadcast: bool,
     salts: int,
-    may_repeat: bool = False,
 ) -> DataFrame:
     """Equi-join with ``right`` unique on ``keys``; ``how`` keeps or filters rows of ``left``.
 
@@ -24,13 +23,14 @@ def join_lookup(
     the rows of a left key spread over ``salts`` tasks, and each right row is repeated once per
     salt. The result is the same either way, in batch and in streams.
 
-    Rows are spread by a hash of the whole row, or, where they ``may_repeat``, by a seeded random
-    number, since copies of one row would all hash alike. The numbers follow the rows' positions in
-    their partition, which rows read from a source keep when a task is repeated.
+    In batch a row's salt is a hash of the row: a repeated task gives it the same one, in whatever
+    order its input arrives. Copies of one row hash alike, but there adaptive execution splits what
+    is still skewed. A stream has no adaptive execution, yet reads its source in the same order
+    again, so there a seeded random number spreads the copies too.
     """
     if broadcast:
         return left.join(F.broadcast(right), keys, how)
-    if may_repeat:
+    if left.isStreaming:
         salt = F.floor(F.rand(0) * salts)
     else:
         salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts))

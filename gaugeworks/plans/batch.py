@@ -39,7 +39,7 @@ def batch_summary(
     it is looked up once per group rather than once per reading.
     """
     groups = fold_cells(reading_cells(readings, settings.window), settings, work)
-    return publishable(lookup_join(groups, dimension, settings, may_repeat=False), settings)
+    return publishable(lookup_join(groups, dimension, settings), settings)
 
 
 def named_summary(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

@@ -153,26 +153,49 @@ def test_empty_input(spark):
 # --- lookup join --------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("may_repeat", [True, False])
-def test_salted_lookup_equals_broadcast_lookup(spark, may_repeat):
+def test_salted_lookup_equals_broadcast_lookup(spark):
     rows = random_rows(1000, seed=2) + [(1, 5.0, 1.0, 1.0)] * 500
     df, dim = readings(spark, rows), dimension(spark, NAMES)
-    plain = lookup_join(df, dim, Settings(), may_repeat=may_repeat)
-    salted = lookup_join(df, dim, replace(Settings(), broadcast_max_rows=1), may_repeat=may_repeat)
+    plain = lookup_join(df, dim)
+    salted = lookup_join(df, dim, replace(Settings(), broadcast_max_rows=1))
     assert sorted(plain.collect()) == sorted(salted.collect())
     assert plain.count() == len(rows)
 
 
-def test_salting_spreads_copies_of_one_row(spark):
-    df = readings(spark, [(1, 5.0, 1.0, 1.0)] * 600).repartition(2)
-    few = replace(Settings(), broadcast_max_bytes=1, salts=8)
-    joined = lookup_join(df, dimension(spark, NAMES), few)
+def partitions_used(spark, joined):
+    """Partitions with rows, without adaptive execution merging small ones."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        used = joined.select(F.spark_partition_id()).distinct().count()
+        return joined.select(F.spark_partition_id()).distinct().count()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert used > 1
+
+
+def test_salting_spreads_one_type(spark):
+    df = readings(spark, [(1, i / 10, 1.0, 1.0) for i in range(600)])
+    dim = dimension(spark, NAMES)
+    assert partitions_used(spark, lookup_join(df, dim, replace(TIGHT, salts=1))) == 1
+    assert partitions_used(spark, lookup_join(df, dim, replace(TIGHT, salts=8))) > 1
+
+
+def test_adaptive_execution_splits_copies_of_one_row(spark):
+    copies = [(1, 5.0, 1.0, 1.0)] * 20_000
+    others = [(t, i / 10, 1.0, 1.0) for i in range(300) for t in (1, 2, 3)]
+    df = readings(spark, copies + others).repartition(16)
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        joined = lookup_join(df, dimension(spark, NAMES), replace(TIGHT, salts=8))
+        assert len(joined.collect()) == len(copies + others)
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in small:
+            spark.conf.unset(key)
 
 
 def test_size_of_the_dimension_decides(spark):
