@@ -61,6 +61,11 @@ def row_key(*columns: str) -> list[Column]:
     ]
 
 
+def with_row_key(docs: DataFrame, *columns: str) -> DataFrame:
+    """Each row as the struct ``_row``, beside its ``row_key``; so no column can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *row_key(*columns))
+
+
 def utf8(column: str = "text") -> Column:
     """A text's UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary").alias(column)

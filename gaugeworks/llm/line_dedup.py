@@ -16,7 +16,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import Work, row_key
+from gaugeworks.llm.common import Work, row_key, with_row_key
 
 #: Stripped from both ends of a line for its key: space, tab, \n, \v, \f, \r.
 SPACE = " \t\n\x0b\x0c\r"
@@ -145,12 +145,14 @@ def drop_lines(
     bitmaps = keep_bitmaps(docs, min_docs, keep, text, doc).select(
         *ROW, F.col("n_dropped").alias("_gone"), F.col("keep_runs").alias("_runs")
     )
-    joined = docs.withColumns(dict(zip(ROW, row_key(doc, text), strict=True))).join(
-        bitmaps, ROW, "left"
-    )
+    joined = with_row_key(docs, doc, text).join(bitmaps, ROW, "left")
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    field = f"_row.`{text}`"
     return joined.select(
-        *[kept_text(c, "_runs").alias(c) if c == text else F.col(c) for c in own],
-        F.size(line_array(text)).cast("long").alias("n_lines"),
+        *[
+            kept_text(field, "_runs").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c)
+            for c in own
+        ],
+        F.size(line_array(field)).cast("long").alias("n_lines"),
         F.coalesce("_gone", F.lit(0).cast("long")).alias("n_dropped"),
     )

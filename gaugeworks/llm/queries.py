@@ -7,8 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import line_dedup, simhash_dedup
-from gaugeworks.llm.common import documents
+from gaugeworks.llm import best_fit_packing, decontamination, embedding_dedup, line_dedup, simhash_dedup, token_orc
+from gaugeworks.llm.common import Work, documents
+
+
+#: Vocabulary of the token files, and the id that ends a document in them.
+VOCABULARY, END_ID = "word_bpe_49k.json", 2
+
+
+def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    work = Work(spark, "tokens")
+    token_orc.write(
+        documents(spark, sf_dir), f"{work.path}/orc", public_tokenizers.path(VOCABULARY), END_ID
+    )
+    rows = work.stage(token_orc.index(spark, f"{work.path}/orc"), "index")
+    return token_orc.with_starts(rows)
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +32,31 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest)
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return embedding_dedup.near_duplicates(vectors, threshold=0.98)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per contaminated pair of document and benchmark item."""
+    found = decontamination.contaminated(
+        documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    )
+    return found.select(
+        "doc_id",
+        "item_id",
+        "item_tokens",
+        "tiled_tokens",
+        "coverage",
+        F.size("tiles").cast("long").alias("n_tiles"),
+        (F.col("coverage") >= decontamination.COVERAGE).alias("contaminated"),
+    )
+
+
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack(documents(spark, sf_dir))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(
         documents(spark, sf_dir), shingle_words=4, max_bits=4
@@ -24,6 +64,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_orc": op1_token_orc,
     "op5_line_dedup": op5_line_dedup,
+    "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_decontamination": op8_decontamination,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash": op10_simhash,
 }
