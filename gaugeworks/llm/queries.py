@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import best_fit_packing, decontamination, embedding_dedup, line_dedup, simhash_dedup, token_orc
+from gaugeworks.llm import best_fit_packing, decontamination, embedding_dedup, kneser_ney, line_dedup, simhash_dedup, token_orc
 from gaugeworks.llm.common import Work, documents
 
 
@@ -26,6 +26,17 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.with_starts(rows)
 
 
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents labelled as good and not toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return labels.where("quality = 1 and toxic = 0").select("doc_id")
+
+
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = kneser_ney.perplexities(documents(spark, sf_dir), trusted_ids(spark, sf_dir))
+    return judged.drop("_k1", "_k2")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_lines(documents(spark, sf_dir).select("doc_id", "text"), min_docs=10)
     digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
@@ -65,6 +76,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_orc": op1_token_orc,
+    "op3_kneser_ney": op3_kneser_ney,
     "op5_line_dedup": op5_line_dedup,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_decontamination": op8_decontamination,
