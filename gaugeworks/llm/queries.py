@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import best_fit_packing, decontamination, embedding_dedup, kneser_ney, line_dedup, simhash_dedup, token_orc
+from gaugeworks.llm import best_fit_packing, decontamination, embedding_dedup, kneser_ney, line_dedup, simhash_dedup, token_orc, toxicity
 from gaugeworks.llm.common import Work, documents
 
 
@@ -26,6 +26,14 @@ def op1_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.with_starts(rows)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.severity(docs, model)
+    chances = [F.col("p_at_least")[k].alias(f"p_at_least_{k + 1}") for k in range(toxicity.GRADES)]
+    return scored.select("doc_id", "expected_severity", *chances, "grade", "toxic")
+
+
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents labelled as good and not toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -76,6 +84,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_orc": op1_token_orc,
+    "op2_toxicity": op2_toxicity,
     "op3_kneser_ney": op3_kneser_ney,
     "op5_line_dedup": op5_line_dedup,
     "op7_embedding_dedup": op7_embedding_dedup,
