@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.llm import best_fit_packing, decontamination, embedding_dedup, kneser_ney, line_dedup, simhash_dedup, token_orc, toxicity
+from gaugeworks.llm import (
+    best_fit_packing,
+    decontamination,
+    embedding_dedup,
+    html_extraction,
+    kneser_ney,
+    line_dedup,
+    simhash_dedup,
+    token_orc,
+    toxicity,
+)
 from gaugeworks.llm.common import Work, documents
 
 
@@ -51,6 +61,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest)
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return embedding_dedup.near_duplicates(vectors, threshold=0.98)
@@ -87,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_kneser_ney": op3_kneser_ney,
     "op5_line_dedup": op5_line_dedup,
+    "op6_html_extraction": op6_html_extraction,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_decontamination": op8_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
