@@ -15,32 +15,34 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import runs, slices, utf8
+from gaugeworks.llm.common import BATCH_BYTES, runs, slices, utf8
 
 STRIPE_BYTES = 16 << 20
 ROWS_PER_INDEX = 1000
 
 
 class WordEncoder:
-    """Encodes texts word by word, each distinct word once. ``known_words`` bounds the memory: when
-    so many words are known, it begins anew.
+    """Encodes texts word by word, each distinct word once. Of the words met it remembers the latest,
+    at most ``known_words``.
 
     Right for tokenizers that cut at white space and lower-case first. Special tokens inside a text
     count as such, as they do in a call of the library with default settings.
     """
 
-    def __init__(self, tokenizer_path: str, known_words: int = 300_000):
+    def __init__(self, tokenizer_path: str, known_words: int = 400_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.known_words = known_words
+        self.half = known_words // 2
         self.known: dict[str, bytes] = {}
-        self.marks = {mark: self._encode([mark])[0] for mark in ".,"}
+        self.older: dict[str, bytes] = {}
+        self.marks = {mark: self._encode([mark])[0] for mark in ".,"} | {"": b""}
 
     def _encode(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -48,25 +50,34 @@ class WordEncoder:
 
     def words(self, words: list[str]) -> list[bytes]:
         """The ids of each word as int32 bytes."""
-        if len(self.known) > self.known_words:
-            self.known.clear()
-        known, parts, wanted = self.known, [], {}
-        for word in words:
+        if len(self.known) > self.half:
+            self.known, self.older = {}, self.known
+        known, older, marks = self.known, self.older, self.marks
+        found = list(map(known.get, words))
+        missing, wanted = [], {}
+        for i, ids in enumerate(found):
+            if ids is not None:
+                continue
+            word = words[i]
+            ids = older.get(word)
+            if ids is not None:
+                found[i] = known[word] = ids
+                continue
             # Lower-casing A-Z is part of the encoding, except in the names of special tokens.
-            if word.isascii() and "<|" not in word:
-                word = word.lower()
+            core = word.lower() if word.isascii() and "<|" not in word else word
             mark = ""
             # After a letter, a full stop or comma at the end is a piece of its own.
-            if word[-1:] in (".", ",") and word[-2:-1].isalpha():
-                word, mark = word[:-1], word[-1]
-            parts.append((word, mark))
-            if word not in known:
-                wanted[word] = None
-        if wanted:
-            new = list(wanted)
-            known.update(zip(new, self._encode(new), strict=True))
-        marks = self.marks
-        return [known[word] + marks[mark] if mark else known[word] for word, mark in parts]
+            if core[-1:] in (".", ",") and core[-2:-1].isalpha():
+                core, mark = core[:-1], core[-1]
+            missing.append((i, core, mark))
+            if core not in known:
+                wanted[core] = older.get(core)
+        new = [core for core, ids in wanted.items() if ids is None]
+        known.update(wanted)
+        known.update(zip(new, self._encode(new), strict=True))
+        for i, core, mark in missing:
+            found[i] = known[words[i]] = known[core] + marks[mark]
+        return found
 
     def texts(self, texts: pa.Array):
         """All ids of a string array's texts, and the number of ids of each."""
@@ -86,6 +97,12 @@ class WordEncoder:
         return values, up_to[last] - up_to[last - n_words]
 
 
+@cache
+def encoder(tokenizer_path: str) -> WordEncoder:
+    """One for all tasks of a Python worker: loading takes time, and so do the first words."""
+    return WordEncoder(tokenizer_path)
+
+
 def write(
     docs: DataFrame,
     path: str,
@@ -110,10 +127,9 @@ def write(
         import numpy as np
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordEncoder(tokenizer_path)
         pos = 0
-        for batch in slices(batches, "_text"):
-            values, sizes = encoder.texts(batch.column(1).cast(pa.string()))
+        for batch in slices(batches, "_text", 2 * BATCH_BYTES):
+            values, sizes = encoder(tokenizer_path).texts(batch.column(1).cast(pa.string()))
             ends = np.cumsum(sizes)
             values = np.insert(values, ends, end_id)
             offsets = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)]).astype(np.int32)
