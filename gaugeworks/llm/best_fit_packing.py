@@ -24,8 +24,8 @@ CAPACITIES = (512, 1024, 2048, 4096, 8192)
 #: A bin costs its capacity, a fixed part for a sequence, and its attention: capacity squared over this.
 OVERHEAD = 32
 ATTENTION = 65536
-#: Rows that one task numbers.
-ROWS_PER_TASK = 500_000
+#: Rows of one length that are numbered together.
+ROWS_PER_BUCKET = 1000
 
 
 @dataclass
@@ -168,7 +168,7 @@ def pack(
 
     # Ranks within a length: numbered within hash buckets, plus the sizes of earlier buckets, so a
     # length that many documents have is numbered in as many tasks as it needs.
-    buckets = -(-max(histogram.values(), default=1) // ROWS_PER_TASK)
+    buckets = -(-max(histogram.values(), default=1) // ROWS_PER_BUCKET)
     dealt = pieces.withColumn("_b", F.pmod(F.col("_h"), F.lit(buckets)).cast("int"))
     before = Window.partitionBy("n_tokens").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bases = (

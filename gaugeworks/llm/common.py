@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import gc
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +41,21 @@ class Work:
         return self.spark.read.schema(schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per Spark application; a cluster need not have it
+    installed, nor a local session be started in a certain folder."""
+    context = spark.sparkContext
+    if getattr(context, "_gaugeworks_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(context._temp_dir) / f"{package.name}.zip"  # Spark serves it to executors
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._gaugeworks_shipped = True
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner see that shuffle files of finished jobs are not referenced any more, so
     that disk holds the files of one step and not of all of them."""

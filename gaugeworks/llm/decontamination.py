@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.common import Work, row_key, runs, slices, utf8, with_row_key
 
 MIN_MATCH = 5
-COVERAGE = 0.8
+COVERAGE = 0.6
 #: Bits of the field that documents are compared with: 16 MB, whatever the size of the benchmark.
 FIELD_BITS = 27
 BASE = 0x9E3779B97F4A7C15

@@ -14,11 +14,12 @@ from gaugeworks.llm import (
     html_extraction,
     kneser_ney,
     line_dedup,
+    repeated_bytes,
     simhash_dedup,
     token_orc,
     toxicity,
 )
-from gaugeworks.llm.common import Work, documents
+from gaugeworks.llm.common import Work, documents, ship
 
 
 #: Vocabulary of the token files, and the id that ends a document in them.
@@ -55,6 +56,18 @@ def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("_k1", "_k2")
 
 
+def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeated_bytes.remove_repeats(documents(spark, sf_dir), length=400)
+    gone = repeated_bytes.n_removed()
+    return kept.select(
+        "doc_id",
+        (F.octet_length("kept").cast("long") + gone).alias("n_bytes"),
+        gone.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_lines(documents(spark, sf_dir).select("doc_id", "text"), min_docs=10)
     digest = F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
@@ -96,10 +109,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_orc": op1_token_orc,
     "op2_toxicity": op2_toxicity,
     "op3_kneser_ney": op3_kneser_ney,
+    "op4_repeated_bytes": op4_repeated_bytes,
     "op5_line_dedup": op5_line_dedup,
     "op6_html_extraction": op6_html_extraction,
     "op7_embedding_dedup": op7_embedding_dedup,
@@ -107,3 +121,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash": op10_simhash,
 }
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: _shipped(query) for name, query in _QUERIES.items()}
