@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import Work, slices, utf8
+from gaugeworks.llm.common import Work, slices, utf8, with_row_key
 from gaugeworks.llm.components import components
 
 SEED = 42
@@ -275,3 +275,17 @@ def near_duplicates(
         F.when(F.col("_id").isNotNull(), F.col("_root")).alias("component_id"),
     )
 
+
+
+def keep_one(docs: DataFrame, text: str = "text", doc: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` that are the first of their group by id, unchanged, and those without an
+    id. Of several rows with one id, one stays. ``options``: see ``near_duplicates``."""
+    work = Work(docs.sparkSession, "groups")
+    grouped = near_duplicates(docs, text=text, doc=doc, **options)
+    first = grouped.where(F.col(doc) == F.col("component_id")).groupBy(F.col(doc).alias("_id"))
+    first = work.stage(first.agg(F.count(F.lit(1)).alias("_rows")), "first")
+    keyed = with_row_key(docs, doc, text).withColumn("_id", F.col(f"_row.`{doc}`").cast("long"))
+    kept = work.stage(keyed.join(first.hint("merge"), "_id", "left").where("_rows > 0 or _id is null"), "kept")
+    single = kept.where("_rows = 1 or _id is null").select("_row.*")
+    several = kept.where("_rows > 1").groupBy("_id").agg(F.min_by("_row", F.struct("_k1", "_k2")).alias("_row"))
+    return single.unionByName(several.select("_row.*"))
