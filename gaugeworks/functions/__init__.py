@@ -1,4 +1,4 @@
-from gaugeworks.functions.exact_sum import exact_sum_columns, exact_sum_value
+from gaugeworks.functions.exact_sum import BAND, PIECES, band_pieces, exact_sum_columns, exact_sum_value
 from gaugeworks.functions.messages import decode, encode_reading, encode_result
 from gaugeworks.functions.rounding import round_half_even_2
 from gaugeworks.functions.times import (
@@ -14,6 +14,9 @@ __all__ = [
     "encode_reading",
     "encode_result",
     "epoch_ms",
+    "BAND",
+    "PIECES",
+    "band_pieces",
     "exact_sum_columns",
     "exact_sum_value",
     "from_epoch_ms",

@@ -31,28 +31,42 @@ EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 def parse_whole(value: Column, schema: StructType) -> Column:
-    """``value`` as a struct of ``message``, in the given schema, and ``whole``, true if nothing
-    else is in the text. Malformed and mistyped text fails the job.
+    """``value`` as a struct of ``message``, in the given schema, and ``whole``, true if the text ends
+    there. Malformed and mistyped text fails the job. See ``is_single`` as well.
 
     The parser stops after the first value of a text, so by itself it would pass over anything that
     follows, even a second message. Inside another object that is a syntax error, or leaves out the
-    closing mark.
+    closing mark, or else it goes on as members of that object.
     """
     enclosed = F.concat(F.lit('{"message":'), value.cast("string"), F.lit(',"whole":true}'))
     both = StructType([StructField("message", schema), StructField("whole", BooleanType())])
     return F.from_json(enclosed, both, {"mode": "FAILFAST", "allowSingleQuotes": "false"})
 
 
+def is_single(value: Column) -> Column:
+    """Whether the text is one element of an array. What is legal after a member of an object, and so
+    gets through ``parse_whole``, is not legal after an element of an array; and what would be a
+    second element is not legal in an object. Together they leave nothing over.
+
+    The function that counts elements knows no bare NaN or Infinity, so they are replaced by a digit;
+    inside a string this does no harm, as only elements are counted.
+    """
+    plain = F.regexp_replace(value.cast("string"), r"-?\b(NaN|Infinity)\b", "0")
+    return F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1
+
+
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:
     """Message text to readings, strictly: anything malformed, mistyped or missing fails the job."""
-    parsed = messages.select(parse_whole(F.col(value), MESSAGE).alias("m"))
+    parsed = messages.select(
+        parse_whole(F.col(value), MESSAGE).alias("m"), is_single(F.col(value)).alias("single")
+    )
     readings = parsed.select(
         "m.message.device_id",
         "m.message.type_id",
         "m.message.temperature",
         "m.message.humidity",
         from_epoch_ms(epoch_ms(parse_iso(F.col("m.message.event_time")))).alias("event_time"),
-        "m.whole",
+        F.when(F.col("single"), F.col("m.whole")).alias("whole"),
     )
     # A projection of its own, so that the time is parsed once although it is used twice here.
     others = [F.col(name) for name in readings.columns if name != "event_time"]

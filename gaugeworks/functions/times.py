@@ -16,6 +16,11 @@ def parse_iso(text: Column) -> Column:
     return F.to_timestamp(F.concat(text, F.lit("Z")), ISO_PATTERN + "X")
 
 
+def _div(number: Column, by: int) -> Column:
+    """Whole-number division, towards zero."""
+    return F.call_function("div", number, F.lit(by))
+
+
 def _digits(number: Column, width: int) -> Column:
     return F.lpad(number.cast("string"), width, "0")
 
@@ -23,16 +28,16 @@ def _digits(number: Column, width: int) -> Column:
 def iso_text(ts: Column) -> Column:
     """The wire format with milliseconds, in UTC."""
     ms = epoch_ms(ts)
-    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(ms / 86_400_000).cast("int"))
     of_day = F.pmod(ms, F.lit(86_400_000))
+    day = F.date_add(F.lit("1970-01-01").cast("date"), _div(ms - of_day, 86_400_000).cast("int"))
     return F.concat(
         day.cast("string"),
         F.lit("T"),
-        _digits(F.floor(of_day / 3_600_000), 2),
+        _digits(_div(of_day, 3_600_000), 2),
         F.lit(":"),
-        _digits(F.floor(of_day / 60_000) % 60, 2),
+        _digits(_div(of_day, 60_000) % 60, 2),
         F.lit(":"),
-        _digits(F.floor(of_day / 1000) % 60, 2),
+        _digits(_div(of_day, 1000) % 60, 2),
         F.lit("."),
         _digits(of_day % 1000, 3),
         F.lit("Z"),
@@ -41,7 +46,7 @@ def iso_text(ts: Column) -> Column:
 
 def epoch_ms(ts: Column) -> Column:
     """Whole milliseconds since the epoch; finer digits are cut off."""
-    return F.call_function("div", F.unix_micros(ts), F.lit(1000))
+    return _div(F.unix_micros(ts), 1000)
 
 
 def from_epoch_ms(ms: Column) -> Column:
@@ -50,6 +55,6 @@ def from_epoch_ms(ms: Column) -> Column:
 
 def window_label(window_start: Column) -> Column:
     """``HH:mm`` of a window start, in UTC whatever the session zone."""
-    minute_of_day = F.pmod(F.floor(F.unix_seconds(window_start) / 60), F.lit(1440))
-    hour, minute = F.floor(minute_of_day / 60), minute_of_day % 60
+    second_of_day = F.pmod(F.unix_seconds(window_start), F.lit(86_400))
+    hour, minute = _div(second_of_day, 3600), _div(second_of_day, 60) % 60
     return F.concat(_digits(hour, 2), F.lit(":"), _digits(minute, 2))

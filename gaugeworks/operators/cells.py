@@ -1,4 +1,5 @@
-"""First aggregation step: one row per (window, type, humidity value).
+"""First aggregation step: one row per (window, type, humidity value), and per band of temperatures
+(see functions/exact_sum.py; ordinary ones are all in one band).
 
 The median needs every humidity value of a window, but only how often each occurs. Counting
 equal values first keeps the result exact, shrinks the data on the map side, and spreads a type
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.exact_sum import PIECES, exact_sum_columns
+from gaugeworks.functions.exact_sum import BAND, PIECES, exact_sum_columns
 from gaugeworks.functions.messages import EPOCH, required
 
 GROUP = ["window_start", "type_id"]
@@ -38,7 +39,7 @@ def reading_cells(readings: DataFrame, window: str, seen_at: Column | None = Non
         *([F.col("type_name"), seen_at.alias("seen_at")] if named else []),
         *[piece.alias(name) for name, piece in temperature.items()],
     )
-    cells = prepared.groupBy(*keys, *(["type_name"] if named else [])).agg(
+    cells = prepared.groupBy(*keys, BAND, *(["type_name"] if named else [])).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(name).alias(name) for name in PIECES],
         *([F.max("seen_at").alias("seen_at")] if named else []),

@@ -37,6 +37,28 @@ def measure(dimension: DataFrame) -> DimensionSize:
     return DimensionSize(found["rows"], found["bytes"])
 
 
+def checked_names(dimension: DataFrame) -> DataFrame:
+    """``type_id``, ``__name``, failing the job where an id is null or occurs twice.
+
+    ``measure`` looks at the dimension as it is when a plan is made. A stream's dimension is scanned
+    by every micro-batch and may have changed by then, so the check is part of the plan there.
+    """
+    once = dimension.groupBy("id").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("type_name").alias("type_name")
+    )
+    failure = F.raise_error(F.lit("dimension ids must be unique and not null"))
+    usable = F.col("id").isNotNull() & (F.col("rows") == 1)
+    return once.select(
+        F.col("id").alias("type_id"), F.when(usable, F.col("type_name")).otherwise(failure).alias("__name")
+    )
+
+
+def lookup_names(readings: DataFrame, dimension: DataFrame) -> DataFrame:
+    if readings.isStreaming:
+        return checked_names(dimension)
+    return dimension.select(F.col("id").alias("type_id"), F.col("type_name").alias("__name"))
+
+
 def lookup_join(
     readings: DataFrame,
     dimension: DataFrame,
@@ -48,10 +70,9 @@ def lookup_join(
     scanned by every micro-batch, so a database source is read afresh each time.
     """
     size = measure(dimension)
-    names = dimension.select(F.col("id").alias("type_id"), F.col("type_name").alias("__name"))
     joined = join_lookup(
         readings,
-        names,
+        lookup_names(readings, dimension),
         ["type_id"],
         "left",
         broadcast=size.fits(settings),

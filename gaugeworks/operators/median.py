@@ -1,10 +1,10 @@
 """Second aggregation step: cells to one row per (window, type).
 
 Counts and temperature sums simply add up. A group's exact median is the humidity at its middle
-rank, or the mean of the two middle ones. Most groups have few distinct values, and a window over
-each group's cells finds the ranks. A group with more cells than one task should sort is instead
-range-partitioned by value: slice totals tell which slice holds the middle, and only that slice
-is looked into.
+rank, or the mean of the two middle ones. Most groups have few distinct values: their cells are
+shuffled once and sorted, and one pass finds ranks, middles and sums. A group with more cells than
+one task should sort is instead range-partitioned by value: slice totals tell which slice holds the
+middle, and only that slice is looked into, if need be by slicing it again.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.exact_sum import PIECES, exact_sum_value
+from gaugeworks.functions.exact_sum import BAND, PIECES, band_pieces, exact_sum_value
 from gaugeworks.operators.cells import GROUP
 from gaugeworks.operators.joins import join_lookup
 from gaugeworks.settings import DEFAULTS, Settings
@@ -25,9 +25,10 @@ def fold_cells(
     """Per group: ``n_events``, ``mean_temperature``, ``median_humidity`` (both unrounded), and
     ``type_name`` as last seen if the cells carry names.
 
-    The cells are written below ``work`` first: they are small next to the readings, and how the
-    groups are sized decides the plan. ``work`` has to stay until the result has been used; it
-    defaults to a fresh folder in the shared one.
+    The cells are written below ``work`` first, as how the groups are sized decides the plan. In the
+    worst case, when hardly any two readings of a window agree in type and humidity, they are as many
+    as the readings. ``work`` has to stay until the result has been used; it defaults to a fresh
+    folder in the shared one. A ``work`` left by a failed attempt can be used again.
     """
     work = work or scratch_path(cells.sparkSession, "fold")
     return fold_staged(staged(cells, f"{work}/cells"), settings, work)
@@ -35,56 +36,88 @@ def fold_cells(
 
 def fold_staged(cells: DataFrame, settings: Settings, work: str) -> DataFrame:
     """``fold_cells`` for cells that are a stored table already."""
-    totals = _totals(cells)
-    values = cells.select(*GROUP, "humidity", "n")
     limit = settings.group_cells_per_task
     if cells.count() <= limit:
-        return _result(totals, _medians_by_group(values))
+        return _in_place(cells)
 
-    totals = staged(totals, f"{work}/totals")
-    large = totals.where(F.col("cells") > limit)
+    sizes = staged(cells.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("cells")), f"{work}/sizes")
+    large = sizes.where(F.col("cells") > limit)
     found = large.agg(F.count(F.lit(1)).alias("groups"), F.sum("cells").alias("cells")).first()
     if found["groups"] == 0:
-        return _result(totals, _medians_by_group(values))
+        return _in_place(cells)
 
     large = large.select(*GROUP)
-    slices = max(2, min(-(-found["cells"] // limit), settings.max_slices))
-    few = found["groups"] <= settings.broadcast_max_rows
+    # A group's key takes two words.
+    few = (
+        found["groups"] <= settings.broadcast_max_rows
+        and found["groups"] * 16 <= settings.broadcast_max_bytes
+    )
     split = {"broadcast": few, "salts": settings.salts}
-    small_values = join_lookup(values, large, GROUP, "left_anti", **split)
-    large_values = join_lookup(values, large, GROUP, "left_semi", **split)
-    medians = _medians_by_group(small_values).unionByName(
-        _medians_by_range(large_values, slices, few, work)
+    small_cells = join_lookup(cells, large, GROUP, "left_anti", **split)
+    large_cells = join_lookup(cells, large, GROUP, "left_semi", **split)
+    medians = _medians_by_range(large_cells, found["groups"], found["cells"], few, settings, work)
+    # Both sides are partitioned by group already, so a merge join shuffles nothing more, and no
+    # size estimated from compressed files can turn it into an oversized broadcast.
+    by_range = _totals(large_cells).join(medians.hint("merge"), GROUP)
+    return _in_place(small_cells).unionByName(_result(by_range))
+
+
+def _names(frame: DataFrame) -> list[Column]:
+    """The name last seen, if the frame has names."""
+    if "type_name" not in frame.columns:
+        return []
+    return [
+        F.max_by("type_name", "seen_at").alias("type_name"),
+        F.max("seen_at").alias("seen_at"),
+    ]
+
+
+def _sums(*names: str) -> list[Column]:
+    return [F.sum(name).alias(name) for name in names]
+
+
+def _in_place(cells: DataFrame) -> DataFrame:
+    """Groups of bounded size: one shuffle by group and one sort, then everything in place."""
+    ranked = _positions(cells, GROUP, "humidity", "n")
+    middle = F.when(_holds_middle("n"), F.col("humidity"))
+    banded = ranked.groupBy(*GROUP, BAND).agg(
+        *_sums("n", *PIECES),
+        F.min(middle).alias("low"),
+        F.max(middle).alias("high"),
+        *_names(ranked),
     )
-    return _result(totals, medians)
+    whole = banded.groupBy(*GROUP).agg(
+        *_sums("n"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.collect_list(band_pieces()).alias("bands"),
+        *_names(banded),
+    )
+    return _result(whole)
 
 
 def _totals(cells: DataFrame) -> DataFrame:
-    added = [F.sum(name).alias(name) for name in ("n", *PIECES)]
-    if "type_name" not in cells.columns:
-        return cells.groupBy(*GROUP).agg(*added, F.count(F.lit(1)).alias("cells"))
-    # A string in an aggregation buffer would need sorted input. So the names are first a key of a
-    # hash aggregation, and only its few rows are looked through for the latest.
-    by_name = cells.groupBy(*GROUP, "type_name").agg(
-        *added, F.count(F.lit(1)).alias("cells"), F.max("seen_at").alias("seen_at")
-    )
-    return by_name.groupBy(*GROUP).agg(
-        *added,
-        F.sum("cells").alias("cells"),
-        F.max_by("type_name", "seen_at").alias("type_name"),
+    """Sums and name of groups of any size, by hash aggregation with map-side partials."""
+    keys = [*GROUP, BAND]
+    if "type_name" in cells.columns:
+        # A string in an aggregation buffer would need sorted input. So the names are first a key,
+        # and only their few rows are looked through for the latest.
+        cells = cells.groupBy(*keys, "type_name").agg(
+            *_sums("n", *PIECES), F.max("seen_at").alias("seen_at")
+        )
+    banded = cells.groupBy(*keys).agg(*_sums("n", *PIECES), *_names(cells))
+    return banded.groupBy(*GROUP).agg(
+        *_sums("n"), F.collect_list(band_pieces()).alias("bands"), *_names(banded)
     )
 
 
-def _result(totals: DataFrame, medians: DataFrame) -> DataFrame:
-    temperature = exact_sum_value({name: F.col(name) for name in PIECES})
+def _result(groups: DataFrame) -> DataFrame:
     low, high = F.col("low"), F.col("high")
-    # Both sides are partitioned by group already, so a merge join shuffles nothing more, and no
-    # size estimated from compressed files can turn it into an oversized broadcast.
-    return totals.join(medians.hint("merge"), GROUP).select(
+    return groups.select(
         *GROUP,
-        *(["type_name"] if "type_name" in totals.columns else []),
+        *(["type_name"] if "type_name" in groups.columns else []),
         F.col("n").alias("n_events"),
-        (temperature / F.col("n")).alias("mean_temperature"),
+        (exact_sum_value(F.col("bands")) / F.col("n")).alias("mean_temperature"),
         F.when(low == high, low).otherwise((low + high) / 2).alias("median_humidity"),
     )
 
@@ -102,48 +135,91 @@ def _positions(frame: DataFrame, keys: list[str], order: str, amount: str) -> Da
 def _holds_middle(amount: str) -> Column:
     """Whether the ``amount`` readings ending at position ``up_to`` of ``total`` include a middle
     one."""
-    lower = F.floor((F.col("total") - 1) / 2)
-    upper = F.floor(F.col("total") / 2)
+    lower = F.call_function("div", F.col("total") - 1, F.lit(2))
+    upper = F.call_function("div", F.col("total"), F.lit(2))
     return (F.col("up_to") > lower) & (F.col("up_to") - F.col(amount) <= upper)
 
 
-def _middle_values(cells: DataFrame) -> DataFrame:
-    """The lower and upper middle humidity, from the one or two cells that hold them."""
-    return cells.groupBy(*GROUP).agg(
-        F.min("humidity").alias("low"), F.max("humidity").alias("high")
-    )
-
-
-def _medians_by_group(cells: DataFrame) -> DataFrame:
-    """Groups of bounded size: one shuffle by group, then everything in place."""
-    ranked = _positions(cells, GROUP, "humidity", "n")
-    return _middle_values(ranked.where(_holds_middle("n")))
-
-
-def _medians_by_range(cells: DataFrame, slices: int, few: bool, work: str) -> DataFrame:
-    """Groups of any size, in so many slices of about equal size; ``few`` such groups may be
-    broadcast."""
-    # The sampled slice bounds differ between runs of the same plan, so they are fixed by staging.
-    sliced = staged(
-        cells.repartitionByRange(slices, *GROUP, "humidity").withColumn(
-            "slice", F.spark_partition_id()
-        ),
-        f"{work}/sliced",
-    )
-
-    # At most one row per group and slice, so a group's window here has at most ``slices`` rows.
-    by_slice = sliced.groupBy(*GROUP, "slice").agg(F.sum("n").alias("in_slice"))
-    targets = (
-        _positions(by_slice, GROUP, "slice", "in_slice")
-        .where(_holds_middle("in_slice"))
-        .select(*GROUP, "slice", (F.col("up_to") - F.col("in_slice")).alias("before"), "total")
-    )
+def _medians_by_range(
+    large: DataFrame, groups: int, n_cells: int, few: bool, settings: Settings, work: str
+) -> DataFrame:
+    """The middle values of ``groups`` groups of any size, by slices of about equal size; ``few`` such
+    groups may be broadcast.
 
-    # One or two slices per group, so the rest of the cells need not be shuffled again.
-    targets = targets.hint("broadcast" if few else "merge")
-    within = Window.partitionBy(*GROUP, "slice").orderBy("humidity")
-    so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = sliced.join(targets, [*GROUP, "slice"]).withColumn(
-        "up_to", F.col("before") + F.sum("n").over(so_far)
+    A slice with a middle that is still too large for one task is sliced again by itself, as often as
+    it takes. There are always more slices than groups, so some group is cut each time. ``part``
+    tells a group's slices apart that are looked into (two at most), ``before`` counts the readings
+    below them.
+    """
+    limit, found = settings.group_cells_per_task, []
+    keys = [*GROUP, "part"]
+    # One row per value, so that slices of more than one row can be cut.
+    values = large.groupBy(*GROUP, "humidity").agg(F.sum("n").alias("n"))
+    cells = values.withColumns({"part": F.lit(0), "before": F.lit(0).cast("long")})
+    total = F.lit(None).cast("long")
+    level = 0
+    while True:
+        slices = max(4 * groups, min(-(-n_cells // limit), settings.max_slices))
+        # The sampled slice bounds differ between runs of the same plan, so they are fixed by
+        # staging.
+        sliced = staged(
+            cells.withColumn("of", total)
+            .drop("of_group")
+            .repartitionByRange(slices, *keys, "humidity")
+            .withColumn("slice", F.spark_partition_id()),
+            f"{work}/sliced-{level}",
+        )
+        # At most one row per part and slice, so a part's window here has at most ``slices`` rows.
+        by_slice = sliced.groupBy(*keys, "slice").agg(
+            F.sum("n").alias("in_slice"),
+            F.count(F.lit(1)).alias("cells"),
+            F.first("before").alias("start"),
+            F.first("of").alias("of"),
+        )
+        targets = (
+            _positions(by_slice, keys, "slice", "in_slice")
+            .withColumns(
+                {
+                    "total": F.coalesce("of", "total"),
+                    "up_to": F.col("start") + F.col("up_to"),
+                }
+            )
+            .where(_holds_middle("in_slice"))
+            .select(
+                *keys,
+                "slice",
+                (F.col("up_to") - F.col("in_slice")).alias("below"),
+                "total",
+                (F.col("cells") > limit).alias("again"),
+                "cells",
+                F.row_number().over(Window.partitionBy(*GROUP).orderBy("part", "slice")).alias("next"),
+            )
+        )
+        # One or two slices per group, so the rest of the cells need not be shuffled again.
+        targets = staged(targets, f"{work}/targets-{level}")
+        hinted = targets.drop("cells").hint("broadcast" if few else "merge")
+        chosen = sliced.drop("before", "of").join(hinted, [*keys, "slice"])
+        within = Window.partitionBy(*keys, "slice").orderBy("humidity")
+        so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = chosen.where("not again").withColumn(
+            "up_to", F.col("below") + F.sum("n").over(so_far)
+        )
+        found.append(ranked.where(_holds_middle("n")).select(*GROUP, "humidity"))
+        n_cells = targets.where("again").agg(F.sum("cells")).first()[0]
+        if not n_cells:
+            break
+        cells = chosen.where("again").select(
+            *GROUP,
+            "humidity",
+            "n",
+            F.col("next").alias("part"),
+            F.col("below").alias("before"),
+            F.col("total").alias("of_group"),
+        )
+        total, level = F.col("of_group"), level + 1
+    middles = found[0]
+    for more in found[1:]:
+        middles = middles.unionByName(more)
+    return middles.groupBy(*GROUP).agg(
+        F.min("humidity").alias("low"), F.max("humidity").alias("high")
     )
-    return _middle_values(ranked.where(_holds_middle("n")))

@@ -5,13 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeworks.functions.exact_sum import (
+    BAND,
+    PIECES,
+    band_pieces,
+    exact_sum_columns,
+    exact_sum_value,
+)
+from gaugeworks.functions.messages import EPOCH, required
 from gaugeworks.functions.rounding import round_half_even_2
 from gaugeworks.functions.times import window_label
 from gaugeworks.operators.cells import GROUP, reading_cells
-from gaugeworks.operators.lookup import lookup_join
+from gaugeworks.operators.lookup import lookup_join, lookup_names, measure
 from gaugeworks.operators.median import fold_cells
 from gaugeworks.schema import RESULT_COLUMNS
 from gaugeworks.settings import DEFAULTS, Settings
+from gaugeworks.sources.sinks import write_results
+from gaugeworks.storage import remove, scratch_path
 
 
 def publishable(groups: DataFrame, settings: Settings) -> DataFrame:
@@ -53,23 +63,89 @@ def public_result(summary: DataFrame) -> DataFrame:
     return summary.select(*RESULT_COLUMNS)
 
 
+def write_batch_summary(
+    readings: DataFrame,
+    dimension: DataFrame,
+    fmt: str,
+    settings: Settings = DEFAULTS,
+    **options: str,
+) -> None:
+    """Write the summary (``write_results``), and leave no intermediate table behind."""
+    spark = readings.sparkSession
+    work = scratch_path(spark, "summary")
+    try:
+        write_results(batch_summary(readings, dimension, settings, work), fmt, **options)
+    finally:
+        remove(spark, work)
+
+
+def mean_temperatures(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """``window_start``, ``type_id``, ``avg_temperature``: sums only, no value is kept."""
+    pieces = exact_sum_columns(F.col("temperature"))
+    checked = [required(F.col("type_id"), F.col("temperature"), never=0).alias("type_id")]
+    event_time = required(F.col("event_time"), never=EPOCH)
+    prepared = readings.withColumn("event_time", event_time).select(
+        F.window("event_time", settings.window)["start"].alias("window_start"),
+        *checked,
+        *[piece.alias(name) for name, piece in pieces.items()],
+    )
+    banded = prepared.groupBy(*GROUP, BAND).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(name).alias(name) for name in PIECES]
+    )
+    whole = banded.groupBy(*GROUP).agg(
+        F.sum("n").alias("n"), F.collect_list(band_pieces()).alias("bands")
+    )
+    mean = exact_sum_value(F.col("bands")) / F.col("n")
+    return whole.select(*GROUP, round_half_even_2(mean).alias("avg_temperature"))
+
+
+def latest_names(named: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """``window_start``, ``type_id``, ``type_name`` as last seen, of readings with names."""
+    event_time = required(F.col("event_time"), never=EPOCH)
+    seen = named.withColumn("event_time", event_time).select(
+        F.window("event_time", settings.window)["start"].alias("window_start"),
+        required(F.col("type_id"), never=0).alias("type_id"),
+        "type_name",
+        F.current_timestamp().alias("seen_at"),
+    )
+    by_name = seen.groupBy(*GROUP, "type_name").agg(F.max("seen_at").alias("seen_at"))
+    return by_name.groupBy(*GROUP).agg(F.max_by("type_name", "seen_at").alias("type_name"))
+
+
 ENRICH_SQL = """
-SELECT readings.*, coalesce(names.type_name, :fallback) AS type_name
-FROM iot_events AS readings
-LEFT JOIN device_types AS names ON names.id = readings.type_id
+SELECT /*+ BROADCAST(names) */ readings.*, coalesce(names.__name, :fallback) AS type_name
+FROM {readings} AS readings
+LEFT JOIN {names} AS names ON names.type_id = readings.type_id
+"""
+
+# For a dimension that is too large to broadcast: see operators/joins.py.
+ENRICH_SALTED_SQL = """
+SELECT /*+ MERGE(names) */ readings.* EXCEPT (__salt), coalesce(names.__name, :fallback) AS type_name
+FROM (SELECT *, CAST({salt} AS INT) AS __salt FROM {readings}) AS readings
+LEFT JOIN (SELECT *, explode(sequence(0, :salts - 1)) AS __salt FROM {names}) AS names
+  ON names.type_id = readings.type_id AND names.__salt = readings.__salt
 """
 
 
 def sql_enriched(
     readings: DataFrame, dimension: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
-    """The lookup join written in SQL over two views; ``readings`` may be a stream.
-
-    No join hint: Spark broadcasts the dimension only if it is below its own size threshold.
+    """The lookup join written in SQL; ``readings`` may be a stream. Keys and size are checked and the
+    rows salted as in ``lookup_join``. The frames are passed to the statement, so views of the
+    session stay as they are.
     """
-    readings.createOrReplaceTempView("iot_events")
-    dimension.createOrReplaceTempView("device_types")
-    return readings.sparkSession.sql(ENRICH_SQL, args={"fallback": settings.fallback_name})
+    frames = {"readings": readings, "names": lookup_names(readings, dimension)}
+    args = {"fallback": settings.fallback_name}
+    spark = readings.sparkSession
+    if measure(dimension).fits(settings):
+        return spark.sql(ENRICH_SQL, args=args, **frames)
+    if readings.isStreaming:
+        salt = f"floor(rand(0) * {settings.salts})"
+    else:
+        columns = ", ".join(f"`{name}`" for name in readings.columns)
+        salt = f"pmod(xxhash64({columns}), {settings.salts})"
+    args["salts"] = settings.salts
+    return spark.sql(ENRICH_SALTED_SQL.replace("{salt}", salt), args=args, **frames)
 
 
 def sql_summary(

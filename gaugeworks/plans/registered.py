@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,13 +20,19 @@ from gaugeworks.functions import (
     round_half_even_2,
     window_label,
 )
-from gaugeworks.operators.dimension import insert_ignore
+from gaugeworks.operators.dimension import ensure, seed
 from gaugeworks.operators.lookup import lookup_join
-from gaugeworks.plans.batch import batch_summary, named_summary, public_result, sql_summary
+from gaugeworks.plans.batch import (
+    batch_summary,
+    latest_names,
+    mean_temperatures,
+    sql_summary,
+    write_batch_summary,
+)
+from gaugeworks.schema import DEVICE_TYPES
 from gaugeworks.settings import DEFAULTS, Settings
 from gaugeworks.sources.inputs import messages_stream, results, sensor_table
-from gaugeworks.sources.sinks import write_results
-from gaugeworks.storage import scratch_path
+from gaugeworks.storage import remove, scratch_path, set_times
 from gaugeworks.streaming import run_available, streaming_cells
 
 HOUR = replace(DEFAULTS, window="1 hour")
@@ -145,7 +152,15 @@ def enrich_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dimension_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return insert_ignore(regions(spark, sf_dir), nations(spark, sf_dir))
+    """The regions as a seeded table, to which the nations are added."""
+    table, path = f"device_types_{uuid4().hex}", scratch_path(spark, "dimension")
+    ensure(spark, table, path)
+    try:
+        seed(spark, regions(spark, sf_dir), table)
+        seed(spark, nations(spark, sf_dir), table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # the files stay
+    return spark.read.schema(DEVICE_TYPES).parquet(path)
 
 
 # --- windows ------------------------------------------------------------------------------------
@@ -173,16 +188,17 @@ def _summary_query(settings: Settings) -> Callable[[SparkSession, str], DataFram
     return query
 
 
-def _summary_column(column: str) -> Callable[[SparkSession, str], DataFrame]:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _zoneless(_summary(spark, sf_dir, HOUR)).select("window_start", "type_id", column)
+def window_avg_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _zoneless(mean_temperatures(readings_table(spark, sf_dir), HOUR))
 
-    return query
+
+def window_median_humidity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    summary = _zoneless(_summary(spark, sf_dir, HOUR))
+    return summary.select("window_start", "type_id", "median_humidity")
 
 
 def window_latest_type_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = named_summary(_enriched(spark, sf_dir), HOUR)
-    return _zoneless(named).select("window_start", "type_id", "type_name")
+    return _zoneless(latest_names(_enriched(spark, sf_dir), HOUR))
 
 
 def sql_window_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,7 +217,8 @@ def json_sink_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def result_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "published")
-    write_results(public_result(_summary(spark, sf_dir, HOUR)), "text", path=path)
+    readings = readings_table(spark, sf_dir)
+    write_batch_summary(readings, regions(spark, sf_dir), "text", HOUR, path=path)
     return results(spark, "text", path=path)
 
 
@@ -212,17 +229,47 @@ def _published(spark: SparkSession, path: str) -> DataFrame:
     return _zoneless(spark.read.parquet(path).drop("batch_id"))
 
 
+ARRIVALS = 8
+
+
 def stream_window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table itself as the stream."""
-    table = events_table(spark, sf_dir)
-    stream = spark.readStream.schema(table.schema).parquet(f"{sf_dir}/events.parquet*")
+    """The events in ``ARRIVALS`` files in order of time, but up to four seconds out of order at their
+    ends, one file per micro-batch of one query."""
+    readings = readings_table(spark, sf_dir)
+    span = readings.agg(
+        F.min(F.unix_seconds("event_time")).alias("low"), F.max(F.unix_seconds("event_time")).alias("high")
+    ).first()
     work = scratch_path(spark, "stream")
-    run_available(
-        streaming_cells(sensor_table(stream), regions(spark, sf_dir)),
-        f"{work}/checkpoint",
-        "parquet",
-        path=f"{work}/out",
-    )
+    if span["low"] is not None:
+        # As many seconds late as the device's number says.
+        late = F.pmod(F.xxhash64("device_id"), F.lit(5))
+        part = (F.unix_seconds("event_time") + late - F.lit(span["low"])) * F.lit(ARRIVALS)
+        number = F.call_function("div", part, F.lit(span["high"] - span["low"] + 5)).cast("int")
+        arriving = readings.select(encode_reading().alias("value"), number.alias("arrival"))
+        # One task and file per arrival: the source takes whole files.
+        arriving.repartition(F.col("arrival")).write.partitionBy("arrival").text(f"{work}/in")
+        shown = spark.read.text(f"{work}/in").select("arrival").distinct().collect()
+        set_times(spark, [f"{work}/in/arrival={row[0]}" for row in sorted(shown)])
+        stream = messages_stream(
+            spark,
+            "text",
+            path=f"{work}/in/arrival=*",
+            recursiveFileLookup="true",
+            maxFilesPerTrigger="1",
+        )
+        run_available(
+            streaming_cells(decode(stream), regions(spark, sf_dir)),
+            f"{work}/checkpoint",
+            "parquet",
+            path=f"{work}/out",
+        )
+    return _finished(spark, work)
+
+
+def _finished(spark: SparkSession, work: str) -> DataFrame:
+    """What a finished stream published; its input and checkpoint go."""
+    for folder in ("in", "checkpoint"):
+        remove(spark, f"{work}/{folder}")
     return _published(spark, f"{work}/out")
 
 
@@ -253,7 +300,7 @@ def _replay(
             settings,
             path=f"{work}/out",
         )
-    return _published(spark, f"{work}/out")
+    return _finished(spark, work)
 
 
 def _readings_arriving(spark: SparkSession, sf_dir: str, arrival: Column) -> DataFrame:
@@ -289,8 +336,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_project": enrich_project,
     "dimension_insert_ignore": dimension_insert_ignore,
     "tumbling_window_assign": tumbling_window_assign,
-    "window_avg_temperature": _summary_column("avg_temperature"),
-    "window_median_humidity": _summary_column("median_humidity"),
+    "window_avg_temperature": window_avg_temperature,
+    "window_median_humidity": window_median_humidity,
     "window_latest_type_name": window_latest_type_name,
     "window_sensor_summary_minute": _summary_query(DEFAULTS),
     "window_sensor_summary_hour": _summary_query(HOUR),

@@ -22,10 +22,10 @@ class Settings:
     salts: int = 64
 
     # Distinct humidity values one (window, type) may bring into a single task. Groups above
-    # it take the range-partitioned route in operators/median.py, in slices of about this size,
-    # or larger ones if that would make more slices than a shuffle handles well.
+    # it take the range-partitioned route in operators/median.py, in slices of about this size.
     group_cells_per_task: int = 250_000
-    max_slices: int = 50_000
+    # Slices made at a time; a slice that is too large by then is sliced again.
+    max_slices: int = 10_000
 
 
 DEFAULTS = Settings()

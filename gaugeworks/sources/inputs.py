@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.messages import EPOCH, parse_whole, required
+from gaugeworks.functions.messages import EPOCH, is_single, parse_whole, required
 from gaugeworks.schema import DEVICE_TYPES, RESULT
 
 # Where the job's messages and results are kept.
@@ -82,8 +82,10 @@ def sensor_table(events: DataFrame, *keep: str) -> DataFrame:
 
 def decode_results(values: DataFrame) -> DataFrame:
     """Published message values as records, with the viewer's defaults for missing fields."""
-    parsed = values.select(parse_whole(F.col("value"), RESULT).alias("m"))
-    usable = F.col("m.whole") & F.col("m.message").isNotNull()
+    parsed = values.select(
+        parse_whole(F.col("value"), RESULT).alias("m"), is_single(F.col("value")).alias("single")
+    )
+    usable = F.col("m.whole") & F.col("single") & F.col("m.message").isNotNull()
     failure = F.raise_error(F.lit("published value that is not one record"))
     record = parsed.select(F.coalesce(F.when(usable, F.col("m.message")), failure).alias("r"))
     return record.select(

@@ -7,6 +7,7 @@ window's end its cells are emitted once, and ``foreachBatch`` folds them with th
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -36,6 +37,9 @@ def streaming_cells(
     return reading_cells(named, settings.window, seen_at=F.current_timestamp())
 
 
+ROW_OVERHEAD = 64
+
+
 def _query_conf(settings: Settings) -> dict[str, str]:
     return {
         # With a single stateful operator, late rows are judged by the current watermark instead
@@ -49,8 +53,12 @@ def _query_conf(settings: Settings) -> dict[str, str]:
         # Counting state rows would cost one more read per write.
         "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
         # The dimension is measured at start. Should it outgrow the bound while running, the
-        # batch fails, and the restart measures again and joins without broadcasting.
-        "spark.sql.maxBroadcastTableSize": str(16 * settings.broadcast_max_bytes),
+        # batch fails, and the restart measures again and joins without broadcasting. Spark
+        # compares the size of its hash table: that needs up to ROW_OVERHEAD bytes more a row,
+        # and its storage grows by doubling.
+        "spark.sql.maxBroadcastTableSize": str(
+            2 * (settings.broadcast_max_bytes + ROW_OVERHEAD * settings.broadcast_max_rows)
+        ),
     }
 
 
@@ -129,8 +137,21 @@ def run_refreshing(
     """
     done = 0
     while rounds is None or done < rounds:
+        opened = time.monotonic()
         cells = streaming_cells(readings(), dimension(), settings)
         query = start(cells, write, checkpoint, settings, **trigger)
         query.awaitTermination(settings.dimension_ttl_seconds)
-        query.stop()
+        stop_between_batches(query, settings.dimension_ttl_seconds)
         done += 1
+        if rounds is None:
+            # A query that ends by itself is not started again before the dimension's time is up.
+            time.sleep(max(0.0, opened + settings.dimension_ttl_seconds - time.monotonic()))
+
+
+def stop_between_batches(query: StreamingQuery, patience: float) -> None:
+    """Stop ``query`` while it waits for its next trigger, so that no batch is cut off and has to be
+    repeated. A query that never waits is stopped after ``patience`` seconds anyway."""
+    until = time.monotonic() + patience
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < until:
+        time.sleep(0.02)
+    query.stop()

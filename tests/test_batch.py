@@ -1,6 +1,7 @@
 import math
 import random
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from gaugeworks import Settings, batch_summary, public_result
 from gaugeworks.operators.cells import reading_cells
 from gaugeworks.operators.lookup import lookup_join, measure
 from gaugeworks.operators.median import fold_cells
-from gaugeworks.plans.batch import named_summary, sql_summary
+from gaugeworks.plans.batch import named_summary, sql_enriched, sql_summary, write_batch_summary
 from helpers import JOB_FAILED, collected, dimension, expected, readings
 
 NAMES = {1: "Temperature Sensor", 2: "Humidity Sensor"}
@@ -96,6 +97,74 @@ def test_one_group_of_distinct_values_in_many_slices(spark):
     assert got.median_humidity == (n // 2) / 7
 
 
+@pytest.mark.parametrize("names", [False, True])
+def test_slices_are_sliced_again_until_they_fit(spark, names):
+    """Three slices at a time of at most five cells: several levels."""
+    rows = [(t, 1, t, i / 7) for t, n in ((1, 700), (2, 301), (3, 4)) for i in range(n)]
+    rows += [(1, 1, 5, 50.0)] * 40
+    random.Random(4).shuffle(rows)
+    df = readings(spark, rows).repartition(4)
+    seen = None
+    if names:
+        seen = F.col("event_time")
+        df = df.withColumn("type_name", F.concat(F.lit("n"), F.pmod(F.hash("humidity"), F.lit(3))))
+    few = Settings(group_cells_per_task=5, max_slices=3)
+    got = fold_cells(reading_cells(df, "1 minute", seen), few).collect()
+    want = {r[1]: r[6] for r in expected(rows, {})}
+    assert {r.type_id: round(r.median_humidity, 2) for r in got} == want
+
+
+def test_equal_values_with_many_names_are_one_value(spark):
+    df = readings(spark, [(1, 1, 20, 7)] * 30 + [(1, 1, 20, 9)])
+    named = df.withColumn("type_name", F.expr("concat('n', cast(floor(rand(1) * 20) AS string))"))
+    few = Settings(group_cells_per_task=2, max_slices=2)
+    got = fold_cells(reading_cells(named, "1 minute", F.col("event_time")), few).first()
+    assert (got.n_events, got.median_humidity) == (31, 7.0)
+
+
+def test_temperatures_of_all_sizes_have_one_mean(spark):
+    rng = random.Random(8)
+    rows = [(1, 1, rng.choice([1.0, 1e5, 1e9, 1e17, -1e17]) * rng.random(), i % 7) for i in range(500)]
+    means = set()
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        df = readings(spark, rows).repartition(1 + 2 * seed)
+        for limits in (Settings(), TIGHT):
+            means.add(fold_cells(reading_cells(df, "1 minute"), limits).first().mean_temperature)
+    assert len(means) == 1
+    assert means.pop() == pytest.approx(math.fsum(r[2] for r in rows) / 500, rel=1e-14)
+
+
+def test_written_summary_leaves_nothing_behind(spark, tmp_path):
+    from gaugeworks.storage import shared_dir
+
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = {p.name for p in shared.iterdir()} if shared.exists() else set()
+    rows = random_rows(500, seed=6)
+    path = str(tmp_path / "out")
+    for limits in (Settings(), TIGHT):
+        write_batch_summary(readings(spark, rows), dimension(spark, NAMES), "parquet", limits, path=path)
+    assert len(spark.read.parquet(path).collect()) == 2 * len(expected(rows, NAMES))
+    with pytest.raises(ValueError, match="unique"):
+        twice = dimension(spark, NAMES).unionByName(dimension(spark, NAMES))
+        write_batch_summary(readings(spark, rows), twice, "parquet", path=path)
+    assert {p.name for p in shared.iterdir()} - before == set()
+
+
+@pytest.mark.parametrize("limits", [Settings(), TIGHT], ids=["plain", "tight"])
+def test_sql_enrichment_checks_keys_and_keeps_views(spark, limits):
+    df = readings(spark, [(1, 1, 20, 50)])
+    for name in ("iot_events", "device_types"):
+        spark.range(3).createOrReplaceTempView(name)
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "id int, type_name string")
+    with pytest.raises(ValueError, match="unique"):
+        sql_enriched(df, twice, limits)
+    assert sql_enriched(df, dimension(spark, NAMES), limits).first().type_name == NAMES[1]
+    for name in ("iot_events", "device_types"):
+        assert spark.table(name).count() == 3
+        spark.catalog.dropTempView(name)
+
+
 def test_window_edges_are_half_open(spark):
     rows = [(1, 0, 10, 1), (1, 59.999, 20, 3), (1, 60, 99, 99)]
     got = collected(batch_summary(readings(spark, rows), dimension(spark, NAMES)))

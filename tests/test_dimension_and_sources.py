@@ -37,8 +37,8 @@ def test_dimension_from_files(spark, tmp_path):
 
 
 SAMPLE = [
-    ("20:51", "CO2 Sensor", 24.17, 54.48),
-    ("20:51", "Humidity Sensor", 27.06, 72.99),
+    ("07:05", "Boiler", 61.5, 12.25),
+    ("07:05", "Cellar", 8.75, 90.0),
 ]
 RESULT_DDL = "window_time string, type_name string, avg_temperature double, median_humidity double"
 
@@ -48,8 +48,8 @@ def test_written_messages_read_back(spark, tmp_path):
     write_results(spark.createDataFrame(SAMPLE, RESULT_DDL), "text", path=path)
     lines = sorted(r.value for r in messages(spark, "text", path=path).collect())
     assert lines[0] == (
-        '{"window_time":"20:51","type_name":"CO2 Sensor",'
-        '"avg_temperature":24.17,"median_humidity":54.48}'
+        '{"window_time":"07:05","type_name":"Boiler",'
+        '"avg_temperature":61.5,"median_humidity":12.25}'
     )
     assert sorted(map(tuple, results(spark, "text", path=path).collect())) == SAMPLE
 
@@ -60,7 +60,10 @@ def test_read_back_defaults(spark):
     assert got == [("?", "?", 0.0, 0.0), ("?", "A", 0.0, 0.0)]
 
 
-@pytest.mark.parametrize("bad", ["null", "{} {}", "[{}]", "text", None])
+@pytest.mark.parametrize(
+    "bad",
+    ["null", "{} {}", "[{}]", "text", None, '{},"x":1', '{},"message":{}', '{},"whole":true} x', "{}],[{}"],
+)
 def test_read_back_of_anything_else_fails(spark, bad):
     values = spark.createDataFrame([("{}",), (bad,)], "value string")
     with pytest.raises(JOB_FAILED):
@@ -77,7 +80,37 @@ def test_repeated_batch_replaces_its_files(spark, tmp_path):
 
 def test_console_sink(spark, capsys):
     write_results(spark.createDataFrame(SAMPLE, RESULT_DDL), "console")
-    assert "CO2 Sensor" in capsys.readouterr().out
+    assert "Boiler" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("n", [50, 1000])
+def test_console_sink_prints_every_row(spark, capsys, n):
+    rows = [("07:05", f"type {i}", float(i), 1.0) for i in range(n)]
+    write_results(spark.createDataFrame(rows, RESULT_DDL).repartition(7), "console")
+    printed = capsys.readouterr().out
+    assert all(f"| type {i} |" in printed for i in range(n))
+
+
+BAD_SEEDS = {
+    "null id": [(None, "a")],
+    "null name": [(7, None)],
+    "long name": [(7, "x" * 101)],
+    "null name beside another": [(7, None), (7, "a")],
+}
+
+
+@pytest.mark.parametrize("case", BAD_SEEDS)
+def test_refused_seed_leaves_the_table_as_it_was(spark, case):
+    table = "device_types_refusing"
+    ensure(spark, table)
+    try:
+        seed(spark, spark.createDataFrame([(1, "x" * 100)], "id int, type_name string"), table)
+        with pytest.raises(ValueError):
+            seed(spark, spark.createDataFrame([(2, "b"), *BAD_SEEDS[case]], "id int, type_name string"), table)
+        assert as_dict(spark.table(table)) == {1: "x" * 100}
+        assert "type_name VARCHAR(100)" in spark.sql(f"SHOW CREATE TABLE {table}").first()[0]
+    finally:
+        spark.sql(f"DROP TABLE {table}")
 
 
 class Recorder:
@@ -139,6 +172,23 @@ def test_message_log_options():
     }
 
 
+def test_source_options_bound_a_backlog_and_name_the_group():
+    options = job.source_options({**ENV, "KAFKA_GROUP_ID": "summaries", "MAX_OFFSETS_PER_TRIGGER": "500"})
+    calls = recorded(lambda s: inputs.messages_stream(s, "kafka", **options))
+    assert calls["maxOffsetsPerTrigger"] == "500" and calls["kafka.group.id"] == "summaries"
+    assert job.source_options(ENV)["maxOffsetsPerTrigger"] == "1000000"
+    assert "kafka.group.id" not in job.source_options(ENV)
+
+
+def test_kinds_of_dimension():
+    assert job.dimension_source(ENV) == ("jdbc", job.database_options(ENV))
+    assert job.dimension_source({"DIMENSION": "table"}) == ("table", {})
+    parquet = {"DIMENSION": "parquet", "DIMENSION_PATH": "/types"}
+    assert job.dimension_source(parquet) == ("parquet", {"path": "/types"})
+    assert job.job_settings({"DIMENSION_TTL_SECONDS": "30"}).dimension_ttl_seconds == 30
+    assert job.job_settings({}).dimension_ttl_seconds == 600
+
+
 def test_database_options():
     options = job.database_options(ENV)
     calls = recorded(lambda s: inputs.dimension(s, "jdbc", **options))

@@ -13,6 +13,9 @@ from gaugeworks.functions import (
     encode_reading,
     encode_result,
     epoch_ms,
+    BAND,
+    PIECES,
+    band_pieces,
     exact_sum_columns,
     exact_sum_value,
     from_epoch_ms,
@@ -107,13 +110,21 @@ def test_label_before_the_epoch(spark):
     assert df.select(window_label(F.col("t"))).first()[0] == "23:59"
 
 
-def exact_mean_sum(spark, xs):
-    df = spark.createDataFrame([(x,) for x in xs], "x double")
+def exact_sums(df):
+    """The sums of ``x`` by ``k``."""
     pieces = exact_sum_columns(F.col("x"))
-    sums = df.select(*[c.alias(k) for k, c in pieces.items()]).agg(
-        *[F.sum(k).alias(k) for k in pieces]
+    banded = (
+        df.select("k", *[c.alias(k) for k, c in pieces.items()])
+        .groupBy("k", BAND)
+        .agg(*[F.sum(k).alias(k) for k in PIECES])
     )
-    return sums.select(exact_sum_value({k: F.col(k) for k in pieces})).first()[0]
+    whole = banded.groupBy("k").agg(F.collect_list(band_pieces()).alias("bands"))
+    return dict(whole.select("k", exact_sum_value(F.col("bands"))).collect())
+
+
+def exact_mean_sum(spark, xs):
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    return exact_sums(df.withColumn("k", F.lit(0)))[0]
 
 
 @settings(max_examples=25, deadline=None)
@@ -130,19 +141,32 @@ def test_sum_of_two_equals_float_addition(spark):
     rng = random.Random(3)
     rows = [(i, round(rng.uniform(-50, 50), 2)) for i in range(4000) for _ in range(2)]
     df = spark.createDataFrame(rows, "k int, x double").repartition(7)
-    pieces = exact_sum_columns(F.col("x"))
-    sums = (
-        df.select("k", *[c.alias(k) for k, c in pieces.items()])
-        .groupBy("k")
-        .agg(*[F.sum(k).alias(k) for k in pieces])
-    )
-    got = dict(sums.select("k", exact_sum_value({k: F.col(k) for k in pieces})).collect())
+    got = exact_sums(df)
     want = {}
     for k, x in rows:
         want[k] = want[k] + x if k in want else x
     assert got == want
 
 
+def test_sum_of_mixed_sizes_does_not_depend_on_order(spark):
+    rng = random.Random(9)
+    xs = [rng.uniform(-1, 1) * 2.0 ** rng.randint(-40, 900) for _ in range(400)]
+    xs += [131072.0, -131072.0, 131071.99, 2.0**25, 1e6 + 0.25, -1e6, 1.7976931348623157e308, -1.7e308]
+    sums = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(xs)
+        df = spark.createDataFrame([(0, x) for x in xs], "k int, x double").repartition(seed + 1)
+        sums.add(exact_sums(df)[0])
+    assert len(sums) == 1
+    assert sums.pop() == pytest.approx(math.fsum(xs), rel=1e-15)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.floats(131072, 1e300), min_size=1, max_size=1))
+def test_sum_of_one_large_value_is_that_value(spark, xs):
+    assert exact_mean_sum(spark, xs) == xs[0]
+
+
 def test_sum_keeps_extreme_and_non_finite_values(spark):
     assert exact_mean_sum(spark, [1e300, 1.5]) == 1e300 + 1.5
     assert exact_mean_sum(spark, [math.inf, 1.0]) == math.inf
@@ -150,25 +174,26 @@ def test_sum_keeps_extreme_and_non_finite_values(spark):
     assert math.isnan(exact_mean_sum(spark, [math.inf, -math.inf]))
 
 
+# Field names and the format of the time are fixed values; the rest is made up.
 GOOD = (
-    '{"device_id":"device_3_002","type_id":3,"event_time":"2024-01-15T14:23:01.000Z",'
-    '"temperature":27.45,"humidity":61.2}'
+    '{"device_id":"boiler-7","type_id":3,"event_time":"2024-01-15T14:23:01.000Z",'
+    '"temperature":18.25,"humidity":40.5}'
 )
 
 
 def test_decode_of_the_documented_message(spark):
     row = decode(texts(spark, GOOD)).first()
     assert row.asDict() == {
-        "device_id": "device_3_002",
+        "device_id": "boiler-7",
         "type_id": 3,
-        "temperature": 27.45,
-        "humidity": 61.2,
+        "temperature": 18.25,
+        "humidity": 40.5,
         "event_time": datetime(2024, 1, 15, 14, 23, 1),
     }
 
 
 def test_decode_ignores_unknown_fields_and_takes_whole_numbers(spark):
-    text = GOOD.replace("61.2", '61,"firmware":{"v":2}')
+    text = GOOD.replace("40.5", '61,"firmware":{"v":2}')
     assert decode(texts(spark, text)).first().humidity == 61.0
 
 
@@ -183,23 +208,34 @@ def test_surrounding_space_and_repeated_fields(spark):
 
 
 def test_bare_nan_passes(spark):
-    assert math.isnan(decode(texts(spark, GOOD.replace("27.45", "NaN"))).first().temperature)
+    assert math.isnan(decode(texts(spark, GOOD.replace("18.25", "NaN"))).first().temperature)
+
+
+@pytest.mark.parametrize("text", ['NaN,"note":"NaN, -Infinity]"', '-Infinity,"note":"],["'])
+def test_bare_words_and_brackets_in_strings_pass(spark, text):
+    row = decode(texts(spark, GOOD.replace("18.25", text))).first()
+    assert not math.isfinite(row.temperature)
 
 
 BAD = {
     "text": "not json",
     "truncated": GOOD[:40],
-    "missing device": GOOD.replace('"device_id":"device_3_002",', ""),
+    "missing device": GOOD.replace('"device_id":"boiler-7",', ""),
     "missing type": GOOD.replace('"type_id":3,', ""),
     "missing time": GOOD.replace('"event_time":"2024-01-15T14:23:01.000Z",', ""),
-    "missing humidity": GOOD.replace(',"humidity":61.2', ""),
-    "null device": GOOD.replace('"device_3_002"', "null"),
+    "missing humidity": GOOD.replace(',"humidity":40.5', ""),
+    "null device": GOOD.replace('"boiler-7"', "null"),
     "null message": None,
     "text after it": GOOD + " and more",
     "second message after it": GOOD + GOOD,
     "second message after a comma": GOOD + "," + GOOD,
     "closed twice": GOOD + "}",
     "closed twice and a second message": GOOD + "}" + GOOD,
+    "a further member after it": GOOD + ',"x":1',
+    "a second message as a member": GOOD + ',"message":' + GOOD,
+    "a forged end": GOOD + ',"whole":true} trailing',
+    "a forged end and a second message": GOOD + ',"whole":true}' + GOOD,
+    "list end and beginning": GOOD + "],[" + GOOD,
     "in a list": "[" + GOOD + "]",
     "only a list end": GOOD + "]",
     "comment after it": GOOD + " // checked",

@@ -21,18 +21,24 @@ def test_job_runs_end_to_end(spark, tmp_path, monkeypatch, capsys):
         seen["database"] = (fmt, options)
         return dimension(session, NAMES)
 
-    def start_once(cells, write, checkpoint, settings, **trigger):
-        seen["trigger"] = trigger
-        return job_start(cells, write, str(tmp_path / "checkpoint"), settings, availableNow=True)
+    def run_once(readings, names, write, checkpoint, settings, **trigger):
+        seen["trigger"], seen["ttl"] = trigger, settings.dimension_ttl_seconds
+        refreshing(
+            readings, names, write, str(tmp_path / "checkpoint"), settings, rounds=1, availableNow=True
+        )
 
-    job_start = job.start
+    refreshing = job.run_refreshing
     monkeypatch.setattr(job, "messages_stream", log_stream)
     monkeypatch.setattr(job, "dimension", database)
-    monkeypatch.setattr(job, "start", start_once)
+    monkeypatch.setattr(job, "run_refreshing", run_once)
     job.main({**ENV, "SINK": "console"})
 
     printed = capsys.readouterr().out
     assert "Temperature Sensor" in printed and printed.count("Unknown") == 2
-    assert seen["log"] == ("kafka", {"kafka.bootstrap.servers": "broker:9092"})
+    assert seen["log"] == (
+        "kafka",
+        {"kafka.bootstrap.servers": "broker:9092", "maxOffsetsPerTrigger": "1000000"},
+    )
+    assert seen["ttl"] == 600
     assert seen["database"][0] == "jdbc"
     assert seen["trigger"] == {"processingTime": "5 seconds"}

@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from gaugeworks.plans.oracle import ORACLE
+from gaugeworks.plans.registered import QUERIES
 
 SF_DIR = Path("/root/testdata/sf0.001")
 
@@ -26,10 +28,10 @@ def rows(frame):
 
 
 def test_every_query_has_an_oracle():
-    assert driver.queries().keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_oracle(spark, oracle, name):
     got = driver.queries()[name](spark, str(SF_DIR)).toPandas()
     want = oracle.sql(driver.oracle_sql()[name]).df()

@@ -10,6 +10,7 @@ from gaugeworks.functions import decode, encode_reading
 from gaugeworks.operators.cells import reading_cells
 from gaugeworks.operators.lookup import lookup_join
 from gaugeworks.operators.median import fold_cells
+from gaugeworks.plans.batch import latest_names, mean_temperatures, sql_enriched
 from gaugeworks.sources import sensor_table
 from helpers import dimension, readings
 
@@ -60,11 +61,32 @@ def test_scan_reads_only_used_columns(spark, tmp_path):
     assert used == {"ts", "user_id", "value", "props"}
 
 
-def test_folding_shuffles_each_side_once_and_broadcasts_nothing(spark):
+def test_folding_scans_and_shuffles_once_and_joins_nothing(spark):
     cells = reading_cells(readings(spark, [(1, 1, 20, 50), (2, 1, 20, 50)]), "1 minute")
     text = plan(fold_cells(cells))
-    assert text.count("Exchange hashpartitioning") == 2
-    assert "SortMergeJoin" in text and "Broadcast" not in text
+    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("FileScan") == 1
+    assert "Join" not in text and "Broadcast" not in text
+
+
+def test_means_and_names_need_no_median(spark):
+    rows = readings(spark, [(1, 1, 20, 50), (2, 1, 20, 50)])
+    text = plan(mean_temperatures(rows))
+    assert not re.search(r"\bWindow \[", text) and "Join" not in text
+    text = plan(latest_names(lookup_join(rows, dimension(spark, {1: "a"}))))
+    assert not re.search(r"\bWindow \[", text) and text.count("HashJoin") == 1
+
+
+def test_sql_enrichment_salts_a_large_dimension(spark):
+    few = Settings(broadcast_max_rows=1, salts=3)
+    dim = dimension(spark, {1: "a", 2: "b"})
+    rows = readings(spark, [(1, 1, 20, 50), (3, 2, 20, 50)])
+    text = plan(sql_enriched(rows, dim, few))
+    assert "SortMergeJoin" in text and "Broadcast" not in text and "__salt" in text
+    assert "BroadcastHashJoin" in plan(sql_enriched(rows, dim))
+    got = sql_enriched(rows, dim, few)
+    assert got.columns == [*rows.columns, "type_name"]
+    assert sorted(r.type_name for r in got.collect()) == ["Unknown", "a"]
 
 
 def test_large_dimension_is_never_broadcast(spark):

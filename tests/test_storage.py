@@ -12,7 +12,8 @@ def session(master, configured=None):
         setCheckpointDir=made.append,
         getCheckpointDir=lambda: made[-1] if made else None,
     )
-    conf = SimpleNamespace(get=lambda key, default: configured or default)
+    settings = {"spark.checkpoint.dir": configured, "spark.sql.warehouse.dir": "/warehouse"}
+    conf = SimpleNamespace(get=lambda key, default=None: settings[key] or default)
     return SimpleNamespace(conf=conf, sparkContext=context)
 
 
@@ -22,13 +23,21 @@ def test_configured_folder_is_used_everywhere():
 
 
 def test_cluster_without_a_shared_folder_is_an_error():
-    with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
-        shared_dir(session("yarn"))
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(RuntimeError, match=r"spark\.checkpoint\.dir"):
+            shared_dir(session(master))
 
 
-def test_local_session_gets_one_temporary_folder():
-    local = session("local[2]")
-    assert shared_dir(local) == shared_dir(local)
+def test_local_session_without_the_setting_uses_its_warehouse():
+    for master in ("local", "local[2]", "local[*]", "local[4,4]"):
+        assert shared_dir(session(master)) == "/warehouse/_work"
+
+
+def test_staging_replaces_what_a_failed_attempt_left(spark):
+    path = scratch_path(spark, "again")
+    staged(spark.range(5), path)
+    assert staged(spark.range(3), path).count() == 3
+    remove(spark, path)
 
 
 def test_paths_are_fresh_and_tables_removable(spark):

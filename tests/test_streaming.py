@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import sys
+import time
 from dataclasses import replace
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from gaugeworks import Settings, batch_summary
 from gaugeworks.functions import decode, encode_reading
@@ -227,3 +232,181 @@ def test_file_dimension_is_reopened_when_its_time_is_up(spark, tmp_path):
         availableNow=True,
     )
     assert stream.published() == expected([(1, 1, 20, 50), (1, 2, 30, 70)], {1: "second"})
+
+
+class VersionedDimension(DataSource):
+    """A table whose rows are whatever its file holds when it is scanned."""
+
+    @classmethod
+    def name(cls):
+        return "versioned_dimension"
+
+    def schema(self):
+        return "id int, type_name string"
+
+    def reader(self, schema):
+        return VersionedReader(self.options["file"])
+
+
+class VersionedReader(DataSourceReader):
+    def __init__(self, file):
+        self.file = file
+
+    def read(self, partition):
+        import json
+
+        with open(self.file) as f:
+            yield from map(tuple, json.load(f))
+
+
+def wait_for(condition, seconds=90):
+    until = time.monotonic() + seconds
+    while not condition() and time.monotonic() < until:
+        time.sleep(0.1)
+    assert condition()
+
+
+@pytest.fixture
+def versioned(spark, tmp_path):
+    """A function that writes the dimension's next version, and the dimension."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(VersionedDimension)
+    file = tmp_path / "names.json"
+
+    def put(rows):
+        file.write_text(json.dumps(rows))
+
+    put([[1, "first"]])
+    yield put, lambda: spark.read.format("versioned_dimension").option("file", str(file)).load()
+    cloudpickle.unregister_pickle_by_value(sys.modules[__name__])
+
+
+class Running(Stream):
+    def __init__(self, *args):
+        super().__init__(*args)
+        (self.root / "in").mkdir()
+
+    def put(self, rows):
+        frame = readings(self.spark, rows).coalesce(1).select(encode_reading().alias("value"))
+        frame.write.text(str(self.root / "in" / str(self.fed)))
+        self.fed += 1
+
+    def write(self, summary, batch):
+        write_results(summary, "parquet", batch, path=str(self.root / "out"))
+
+
+def rows_in(query):
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
+def test_names_change_within_one_running_query(spark, tmp_path, versioned):
+    put, table = versioned
+    stream = Running(spark, tmp_path)
+    stream.put([(1, 1, 20, 50)])
+    cells = streaming_cells(decode(stream.messages()), table())
+    query = start(cells, stream.write, str(tmp_path / "ck"), processingTime="300 milliseconds")
+    try:
+        wait_for(lambda: rows_in(query) == 1)
+        put([[1, "second"], [8, "eight"]])
+        stream.put([(1, 2, 30, 70), (8, 2, 1, 1)])
+        wait_for(lambda: rows_in(query) == 3)
+        stream.put(LATER)
+        wait_for(lambda: len(stream.published()) == 2)
+    finally:
+        query.stop()
+    assert stream.published() == expected(
+        [(1, 1, 20, 50), (1, 2, 30, 70), (8, 2, 1, 1)], {1: "second", 8: "eight"}
+    )
+
+
+def test_repeated_id_that_comes_meanwhile_fails_the_query(spark, tmp_path, versioned):
+    put, table = versioned
+    stream = Running(spark, tmp_path)
+    stream.put([(1, 1, 20, 50)])
+    cells = streaming_cells(decode(stream.messages()), table())
+    query = start(cells, stream.write, str(tmp_path / "ck"), processingTime="300 milliseconds")
+    try:
+        wait_for(lambda: rows_in(query) == 1)
+        put([[1, "a"], [1, "b"]])
+        stream.put([(1, 2, 30, 70)])
+        with pytest.raises(JOB_FAILED, match="unique"):
+            query.awaitTermination(90)
+    finally:
+        query.stop()
+
+
+def test_refreshing_query_takes_new_names_within_the_time_to_live(spark, tmp_path, versioned):
+    put, table = versioned
+    stream = Running(spark, tmp_path, replace(Settings(), dimension_ttl_seconds=6))
+    opened = []
+
+    def names():
+        rows = [tuple(row) for row in table().collect()]
+        opened.append(rows)
+        stream.put([[(1, 1, 20, 50)], [(1, 2, 30, 70)], LATER][len(opened) - 1])
+        put([[1, f"version {len(opened) + 1}"]])
+        return spark.createDataFrame(rows, "id int, type_name string")
+
+    run_refreshing(
+        lambda: decode(stream.messages()),
+        names,
+        stream.write,
+        str(tmp_path / "ck"),
+        stream.settings,
+        rounds=3,
+        processingTime="300 milliseconds",
+    )
+    assert [rows[0][1] for rows in opened] == ["first", "version 2", "version 3"]
+    assert stream.published() == expected([(1, 1, 20, 50), (1, 2, 30, 70)], {1: "version 2"})
+
+
+def test_finished_query_is_not_started_again_before_its_time(monkeypatch):
+    """Without a number of rounds the time between two starts is the time to live."""
+    from gaugeworks.streaming import runner
+
+    clock, starts = [0.0], []
+
+    class Finished:
+        isActive = False
+        status = {"isTriggerActive": False}
+
+        def awaitTermination(self, seconds):
+            clock[0] += 1
+
+        def stop(self):
+            pass
+
+    def begin(*args, **kwargs):
+        starts.append(clock[0])
+        if len(starts) == 3:
+            raise KeyboardInterrupt
+        return Finished()
+
+    monkeypatch.setattr(runner, "start", begin)
+    monkeypatch.setattr(runner, "streaming_cells", lambda *args: None)
+    monkeypatch.setattr(runner.time, "monotonic", lambda: clock[0])
+    monkeypatch.setattr(runner.time, "sleep", lambda s: clock.__setitem__(0, clock[0] + s))
+    with pytest.raises(KeyboardInterrupt):
+        run_refreshing(lambda: None, lambda: None, None, "", availableNow=True)
+    assert starts == [0, 600, 1200]
+
+
+def test_registered_stream_has_several_data_batches(spark, tmp_path, monkeypatch):
+    from gaugeworks.plans import registered
+
+    batches = []
+
+    def keeping(cells, checkpoint, fmt, settings=Settings(), **options):
+        query = start(
+            cells,
+            lambda summary, batch: write_results(summary, fmt, batch, **options),
+            checkpoint,
+            settings,
+            availableNow=True,
+        )
+        query.awaitTermination()
+        batches.extend(p["numInputRows"] for p in query.recentProgress if p["numInputRows"])
+
+    monkeypatch.setattr(registered, "run_available", keeping)
+    assert registered.stream_window_agg(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(batches) >= 5 and sum(batches) == 1000
