@@ -13,6 +13,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from heapq import heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -61,7 +62,8 @@ def plan_packing(
 def _pack(histogram: dict[int, int], sizes: list[int], cost: Callable, largest: int) -> Plan:
     plan = Plan()
     free: list[int] = []  # free spaces of open groups, ascending
-    groups: dict[int, list[tuple[int, int, int]]] = {}  # by free space: first bin, bins, capacity
+    # By free space: first bin, bins, capacity; the group opened first is taken first.
+    groups: dict[int, list[tuple[int, int, int]]] = {}
     n_bins = 0
 
     def put(space: int, first: int, bins: int, capacity: int) -> None:
@@ -70,10 +72,10 @@ def _pack(histogram: dict[int, int], sizes: list[int], cost: Callable, largest:
         if space not in groups:
             groups[space] = []
             insort(free, space)
-        groups[space].append((first, bins, capacity))
+        heappush(groups[space], (first, bins, capacity))
 
     def take(space: int) -> tuple[int, int, int]:
-        group = groups[space].pop()
+        group = heappop(groups[space])
         if not groups[space]:
             del groups[space]
             free.pop(bisect_left(free, space))

@@ -38,7 +38,8 @@ class Model:
         import numpy as np
 
         z = np.asarray(score)[:, None] - np.asarray(self.thresholds)[None, :]
-        return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+        p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+        return np.where(np.isneginf(z), 0.0, p)  # no model
 
 
 def features(texts: pa.Array, wanted=None):

@@ -1,0 +1,54 @@
+"""Documents with everything that may go wrong, and plain answers."""
+
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+# Names that operators use for their own columns.
+CLASHING = (
+    "_k1 string, _k2 string, _row string, _id string, _doc string, _text string, _at string, _fp string,"
+    " fingerprint string, component_id string, n_lines string, n_dropped string, keep_runs string,"
+    " kept string, score string, bin_id string, piece string, coverage string, spans string,"
+    " `a b.c` string, ids string, start string, toxic string, label string"
+)
+SF = Path("/root/testdata/sf0.001")
+
+
+def docs(spark, texts, lang="en"):
+    """``texts``: list of texts, or of (id, text)."""
+    pairs = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
+    rows = [(i, t, lang, "s", len(t) if t is not None else None) for i, t in pairs]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+def clashing(spark, texts):
+    pairs = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
+    extra = [None if k % 2 else "x" for k in range(CLASHING.count(",") + 1)]
+    rows = [(i, t, "en", None, 3, *extra) for i, t in pairs]
+    return spark.createDataFrame(rows, f"{DOCS}, {CLASHING}")
+
+
+def empty(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def words(rng: random.Random, n: int, vocabulary: int = 400) -> str:
+    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+class Forest:
+    """Smallest member by links."""
+
+    def __init__(self, members):
+        self.up = {m: m for m in members}
+
+    def find(self, x):
+        while self.up[x] != x:
+            x = self.up[x]
+        return x
+
+    def link(self, a, b):
+        a, b = self.find(a), self.find(b)
+        self.up[max(a, b)] = min(a, b)

@@ -1,0 +1,101 @@
+import random
+from collections import defaultdict
+
+import pytest
+
+from cases import clashing, docs, empty
+from gaugeworks.llm.common import row_key
+from gaugeworks.llm.line_dedup import drop_lines, keep_bitmaps
+
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def key(line):
+    bare = line.strip(SPACE)
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in bare)
+
+
+def brute(texts, min_docs, keep="none"):
+    """(n_lines, n_dropped, text) by id, for distinct ids."""
+    lines = {i: (t or "").split("\n") for i, t in texts}
+    found = defaultdict(set)
+    for i, own in lines.items():
+        for p, line in enumerate(own):
+            found[key(line)].add((i, p))
+    gone = set()
+    for k, at in found.items():
+        if k and len({i for i, _ in at}) >= min_docs:
+            gone |= at - ({min(at)} if keep == "first" else set())
+    return {
+        i: (len(own), sum((i, p) in gone for p in range(len(own))),
+            "\n".join(x for p, x in enumerate(own) if (i, p) not in gone))
+        for i, own in lines.items()
+    }
+
+
+def random_texts(seed, n=60):
+    rng = random.Random(seed)
+    common = ["Share this", "  SHARE this\t", "ÉCOUTE", "écoute", "", " ", "© 2024", "a", "İ", "\x0bx\x0c"]
+    texts = []
+    for i in range(n):
+        own = [rng.choice([*common, f"line {rng.randrange(40)}", f"only {i}"]) for _ in range(rng.randrange(12))]
+        texts.append((i, "\n".join(own)))
+    return texts
+
+
+@pytest.mark.parametrize("keep", ["none", "first"])
+@pytest.mark.parametrize("min_docs", [1, 2, 10])
+def test_equals_brute_force(spark, keep, min_docs):
+    texts = random_texts(min_docs)
+    got = drop_lines(docs(spark, texts), min_docs, keep).collect()
+    assert {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in got} == brute(texts, min_docs, keep)
+
+
+def test_bitmap_has_alternating_runs(spark):
+    texts = [(1, "a\nx\na\na\ny\nz"), (2, "a"), (3, "u\na"), (4, "u")]
+    frame = docs(spark, texts)
+    keys = frame.select("doc_id", *row_key("doc_id", "text"))
+    got = keep_bitmaps(frame, 3).join(keys, ["_k1", "_k2"]).collect()
+    assert {r.doc_id: (r.n_lines, r.n_dropped, r.keep_runs) for r in got} == {
+        1: (6, 3, [0, 1, 1, 2, 2]),
+        2: (1, 1, [0, 1]),
+        3: (2, 1, [1, 1]),
+    }
+
+
+def test_nulls_empty_repeats_and_clashing_names(spark):
+    rows = [(1, None), (2, ""), (3, "a\nb"), (3, "a\nb"), (3, "a\nc"), (None, "a"), (None, "a\nd"), (4, "a"), (5, "b")]
+    frame = clashing(spark, rows)
+    # "a" is in documents 3, null and 4; "b" in 3 and 5. Rows of one id are one document.
+    got = drop_lines(frame, 3)
+    assert got.columns == [c for c in frame.columns if c not in ("n_lines", "n_dropped")] + ["n_lines", "n_dropped"]
+    found = sorted((r.doc_id or 0, r.text, r.n_lines, r.n_dropped) for r in got.collect())
+    assert found == sorted(
+        [(1, "", 1, 0), (2, "", 1, 0), (3, "b", 2, 1), (3, "b", 2, 1), (3, "c", 2, 1),
+         (0, "", 1, 1), (0, "d", 2, 1), (4, "", 1, 1), (5, "b", 1, 0)]
+    )
+    assert got.first()["a b.c"] == frame.first()["a b.c"]
+
+
+def test_empty_table_and_very_long_text(spark):
+    assert drop_lines(empty(spark)).collect() == []
+    long = "\n".join(f"{i % 700}" for i in range(200_000))
+    got = drop_lines(docs(spark, [(1, long), (2, "5\n6")]), 2).orderBy("doc_id").collect()
+    assert got[0].n_lines == 200_000 and got[0].n_dropped == sum(x in ("5", "6") for x in long.split("\n"))
+    assert got[0].text == "\n".join(x for x in long.split("\n") if x not in ("5", "6")) and got[1].text == ""
+
+
+def test_one_line_in_every_document(spark):
+    texts = [(i, f"header\n{i}") for i in range(3000)]
+    got = drop_lines(docs(spark, texts)).collect()
+    assert all(r.text == str(r.doc_id) for r in got) and len(got) == 3000
+
+
+def test_plan_has_no_python(spark):
+    plan = drop_lines(docs(spark, ["a"]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "InPandas" not in plan
+
+
+def test_other_modes_are_refused(spark):
+    with pytest.raises(ValueError):
+        keep_bitmaps(empty(spark), keep="last")

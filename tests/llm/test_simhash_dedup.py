@@ -1,0 +1,126 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from cases import Forest, clashing, docs, empty, words
+from gaugeworks.llm import simhash_dedup
+from gaugeworks.llm.common import Work
+from gaugeworks.llm.simhash_dedup import fingerprint, keep_one, linked, near_duplicates, positions
+
+
+def brute_print(text, n=4):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    own = [w for w in low.translate({9: " ", 10: " ", 11: " ", 12: " ", 13: " "}).split(" ") if w]
+    shingles = [" ".join(own[i : i + n]) for i in range(len(own) - n + 1)] or ([" ".join(own)] if own else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def near_copies(seed, n=120):
+    rng = random.Random(seed)
+    base = [words(rng, rng.randrange(1, 200)) for _ in range(n // 6)]
+    texts = []
+    for i in range(n):
+        own = rng.choice(base).split()
+        for _ in range(rng.randrange(3)):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(9)}"
+        texts.append((i, " ".join(own).upper() if rng.random() < 0.2 else "  ".join(own) + "\n"))
+    return texts
+
+
+def brute_components(prints, bits):
+    forest = Forest(prints)
+    ids = sorted(prints)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            if (prints[a] ^ prints[b]).bit_count() <= bits:
+                forest.link(a, b)
+    return {i: forest.find(i) for i in ids}
+
+
+@pytest.mark.parametrize("text", ["", " \t\n", "One", "a b c", "a b c d", "a b c d e", "Ünï É\x0bx\x0cy\rz", "a " * 500])
+def test_fingerprint_of(text):
+    assert fingerprint(text.encode()) == brute_print(text)
+
+
+@pytest.mark.parametrize("list_rows", [3, 50_000])
+def test_equals_brute_force(spark, list_rows):
+    texts = near_copies(1)
+    got = near_duplicates(docs(spark, texts), list_rows=list_rows).collect()
+    prints = {i: brute_print(t) for i, t in texts}
+    assert {r.doc_id: r.fingerprint for r in got} == {i: f"{p:016x}" for i, p in prints.items()}
+    want = brute_components(prints, 4)
+    assert {r.doc_id: r.component_id for r in got} == want
+    assert len(set(want.values())) < len(want)
+
+
+@pytest.mark.parametrize("bits", range(8))
+def test_every_linked_pair_shares_a_combination(bits):
+    rng = np.random.default_rng(bits)
+    chosen = positions(bits)
+    for _ in range(300):
+        touched = set((rng.choice(64, bits, replace=False) // 8).tolist())
+        assert any(not touched & set(c) for c in chosen)
+    assert bits != 4 or len(chosen) == 20
+
+
+@pytest.mark.parametrize("bits", [0, 1, 4, 6])
+@pytest.mark.parametrize("list_rows", [7, 50_000])
+def test_links_of_dense_groups_equal_brute_force(spark, bits, list_rows):
+    """Chains and balls of fingerprints around a few centres, in long and in cut lists."""
+    rng = random.Random(bits)
+    prints = {}
+    for i in range(250):
+        p = rng.choice([0, 0x0123456789ABCDEF, (1 << 64) - 1])
+        for _ in range(rng.randrange(10)):
+            p ^= 1 << rng.randrange(64)
+        if p not in prints.values():
+            prints[i] = p
+    rows = [(i, p - (1 << 64) if p >> 63 else p) for i, p in prints.items()]
+    entries = spark.createDataFrame(rows, "id long, _fp long")
+    forest = Forest(prints)
+    for r in linked(entries, Work(spark, "t"), bits, list_rows).collect():
+        assert (prints[r.a] ^ prints[r.b]).bit_count() <= bits
+        forest.link(r.a, r.b)
+    assert {i: forest.find(i) for i in prints} == brute_components(prints, bits)
+
+
+def test_nulls_empty_repeats_and_clashing_names(spark):
+    text = "the same ten words are in each of these rows"
+    rows = [(5, None), (7, ""), (3, text), (3, text), (None, text), (9, text.upper()), (9, "other words at all in here")]
+    got = near_duplicates(clashing(spark, rows)).collect()
+    assert len(got) == 7
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, set()).add((r.fingerprint, r.component_id))
+    same = f"{brute_print(text):016x}"
+    assert by[5] == by[7] == {("0" * 16, 5)}
+    assert by[3] == {(same, 3)} and by[None] == {(same, None)}
+    # One id with two texts is one document.
+    assert {c for _, c in by[9]} == {3}
+
+
+def test_keep_one_of_each_group(spark):
+    text = "the same ten words are in each of these rows"
+    rows = [(3, text), (3, text), (9, text), (None, text), (None, text), (4, "quite another text with other words"), (1, None)]
+    frame = clashing(spark, rows)
+    got = keep_one(frame)
+    assert got.columns == frame.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in got.collect()) == sorted(
+        [(3, text), (0, text), (0, text), (4, "quite another text with other words"), (1, "")]
+    )
+
+
+def test_empty_table_and_very_long_text(spark):
+    assert near_duplicates(empty(spark)).collect() == []
+    assert keep_one(empty(spark)).collect() == []
+    long = words(random.Random(2), 300_000)
+    got = near_duplicates(docs(spark, [(1, long), (2, long + " end"), (3, "short one")])).orderBy("doc_id").collect()
+    assert [r.component_id for r in got] == [1, 1, 3]
+
+
+def test_max_bits_is_checked():
+    with pytest.raises(ValueError):
+        simhash_dedup.positions(8)
