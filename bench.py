@@ -44,6 +44,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR", "/tmp/checkpoints"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
