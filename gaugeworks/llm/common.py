@@ -12,10 +12,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeworks.storage import scratch_path
+from gaugeworks.storage import remove, scratch_path
 
 #: Bytes of text that a Python task looks at together. A longer text is a batch of its own.
 BATCH_BYTES = 4 << 20
+#: Bytes that Spark sends to a Python task together.
+ARROW_BYTES = 16 << 20
 
 
 class Work:
@@ -28,23 +30,30 @@ class Work:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.path = scratch_path(spark, label)
+        self.paths: dict[str, list[str]] = {}
 
-    def stage(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
-        writer = df.write.option("compression", "zstd")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
+        self.paths.setdefault(name, []).append(path)
         schema = df.schema
-        writer.parquet(path)
-        del df, writer
+        df.write.option("compression", "zstd").parquet(path)
+        del df
         release(self.spark)
         return self.spark.read.schema(schema).parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Delete tables staged under ``names``: everything made from them is staged itself."""
+        for name in names:
+            for path in self.paths.pop(name, []):
+                remove(self.spark, path)
+
 
 def ship(spark: SparkSession) -> None:
     """Give the Python workers this package, once per Spark application; a cluster need not have it
-    installed, nor a local session be started in a certain folder."""
+    installed, nor a local session be started in a certain folder. Rows go to them in batches of
+    at most ``ARROW_BYTES``, which bounds their memory where texts are long."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     if getattr(context, "_gaugeworks_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]

@@ -12,6 +12,7 @@ the library; ``tests`` compare the result with that of whole texts.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -27,6 +28,20 @@ STRIPE_BYTES = 16 << 20
 ROWS_PER_INDEX = 1000
 
 
+#: A word of lower-case Latin letters up to U+00FF is in normal form, and one piece. After a letter, a
+#: full stop or comma at the end is a piece of its own.
+PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,]?)").fullmatch
+
+
+@cache
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones of Latin-1 for
+    themselves, the others for the following code points from U+0100 on, in order."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordEncoder:
     """Encodes texts word by word, each distinct word once. Of the words met it remembers the latest,
     at most ``known_words``.
@@ -35,48 +50,50 @@ class WordEncoder:
     count as such, as they do in a call of the library with default settings.
     """
 
-    def __init__(self, tokenizer_path: str, known_words: int = 400_000):
+    def __init__(self, tokenizer_path: str, known_words: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.half = known_words // 2
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        # The library's own names of the bytes, by its treatment of each.
+        self.merge = self.tokenizer.model.tokenize
+        self.bytes_as_letters = byte_letters()
         self.marks = {mark: self._encode([mark])[0] for mark in ".,"} | {"": b""}
 
     def _encode(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array("i", x.ids).tobytes() for x in found]
 
+    def _word(self, word: str) -> bytes:
+        """A word of which it is known that it is normal and one piece: only merges are left."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.bytes_as_letters)
+        return array("i", [t.id for t in self.merge(word)]).tobytes()
+
     def words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word as int32 bytes."""
+        """The ids of each word as int32 bytes. Words come with A-Z in lower case."""
         if len(self.known) > self.half:
             self.known, self.older = {}, self.known
         known, older, marks = self.known, self.older, self.marks
-        found = list(map(known.get, words))
-        missing, wanted = [], {}
-        for i, ids in enumerate(found):
-            if ids is not None:
-                continue
+        found, other = list(map(known.get, words)), []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
             word = words[i]
-            ids = older.get(word)
-            if ids is not None:
-                found[i] = known[word] = ids
-                continue
-            # Lower-casing A-Z is part of the encoding, except in the names of special tokens.
-            core = word.lower() if word.isascii() and "<|" not in word else word
-            mark = ""
-            # After a letter, a full stop or comma at the end is a piece of its own.
-            if core[-1:] in (".", ",") and core[-2:-1].isalpha():
-                core, mark = core[:-1], core[-1]
-            missing.append((i, core, mark))
-            if core not in known:
-                wanted[core] = older.get(core)
-        new = [core for core, ids in wanted.items() if ids is None]
-        known.update(wanted)
-        known.update(zip(new, self._encode(new), strict=True))
-        for i, core, mark in missing:
-            found[i] = known[words[i]] = known[core] + marks[mark]
+            plain = PLAIN(word)
+            core, mark = plain.groups() if plain else (word, "")
+            ids = known.get(core) or older.get(core)
+            if ids is None:
+                if not plain:
+                    other.append(i)
+                    continue
+                ids = self._word(core)
+            known[core] = ids
+            found[i] = ids + marks[mark] if mark else ids
+        if other:
+            new = self._encode([words[i] for i in other])
+            for i, ids in zip(other, new, strict=True):
+                found[i] = known[words[i]] = ids
         return found
 
     def texts(self, texts: pa.Array):
@@ -84,7 +101,13 @@ class WordEncoder:
         import numpy as np
         import pyarrow.compute as pc
 
-        split = pc.ascii_split_whitespace(texts)
+        if pc.any(pc.match_substring(texts, "<|")).as_py():
+            # Names of special tokens are in lower case only: these texts are left to the library.
+            found = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            sizes = np.fromiter((len(x.ids) for x in found), np.int64, len(found))
+            return np.concatenate([np.array(x.ids, np.int32) for x in found]), sizes
+        # Lower-casing A-Z is part of the encoding.
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         coded = split.flatten().dictionary_encode()
         ids = self.words(coded.dictionary.to_pylist())
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
