@@ -311,7 +311,8 @@ def test_names_change_within_one_running_query(spark, tmp_path, versioned):
         stream.put([(1, 2, 30, 70), (8, 2, 1, 1)])
         wait_for(lambda: rows_in(query) == 3)
         stream.put(LATER)
-        wait_for(lambda: len(stream.published()) == 2)
+        wait_for(lambda: rows_in(query) == 4)
+        query.processAllAvailable()
     finally:
         query.stop()
     assert stream.published() == expected(
