@@ -39,7 +39,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go from all of them; ``n_chars`` follows the text. Every
     document stays, if need be with an empty text; null texts become empty."""
     ship(spark)
-    kept = line_dedup.drop_lines(docs, min_docs=10).select(*docs.columns)
+    kept = line_dedup.clean(docs, min_docs=10)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return kept

@@ -142,17 +142,30 @@ def drop_lines(
     (they replace columns of these names). Every row stays, in any case; a text without lines left
     is empty, and so is a null text. See ``keep_bitmaps`` for what is dropped.
     """
-    bitmaps = keep_bitmaps(docs, min_docs, keep, text, doc).select(
-        *ROW, F.col("n_dropped").alias("_gone"), F.col("keep_runs").alias("_runs")
-    )
-    joined = with_row_key(docs, doc, text).join(bitmaps, ROW, "left")
     own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    field = f"_row.`{text}`"
-    return joined.select(
-        *[
-            kept_text(field, "_runs").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c)
-            for c in own
-        ],
-        F.size(line_array(field)).cast("long").alias("n_lines"),
+    return _with_bitmaps(docs, min_docs, keep, text, doc).select(
+        *_kept_columns(own, text),
+        F.size(line_array(f"_row.`{text}`")).cast("long").alias("n_lines"),
         F.coalesce("_gone", F.lit(0).cast("long")).alias("n_dropped"),
     )
+
+
+def clean(
+    docs: DataFrame, min_docs: int = 10, keep: str = "none", text: str = "text", doc: str = "doc_id"
+) -> DataFrame:
+    """``drop_lines`` without further columns: just the columns of ``docs``, whatever their names."""
+    return _with_bitmaps(docs, min_docs, keep, text, doc).select(*_kept_columns(docs.columns, text))
+
+
+def _with_bitmaps(docs: DataFrame, min_docs: int, keep: str, text: str, doc: str) -> DataFrame:
+    bitmaps = keep_bitmaps(docs, min_docs, keep, text, doc).select(
+        *ROW, F.col("n_dropped").alias("_gone"), F.col("keep_runs").alias("_runs")
+    )
+    return with_row_key(docs, doc, text).join(bitmaps, ROW, "left")
+
+
+def _kept_columns(names: list[str], text: str) -> list[Column]:
+    return [
+        kept_text(f"_row.`{c}`", "_runs").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c)
+        for c in names
+    ]
