@@ -26,6 +26,7 @@ def components(links: DataFrame, work: Work) -> DataFrame:
         "links",
     )
     while not _is_stars(edges):
+        before = [name for name in ("links", "small") if name in work.paths]
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = work.stage(_least(both), "least")
         large = (
@@ -34,12 +35,14 @@ def components(links: DataFrame, work: Work) -> DataFrame:
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
         edges = work.stage(large.where("u != v").distinct(), "large")
+        work.drop("least", *before)
         least = work.stage(_least(edges), "least")
         small = edges.join(least.hint("merge"), "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))
         )
         edges = work.stage(small.where("u != v").distinct(), "small")
+        work.drop("least", "large")
     return edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
 
 

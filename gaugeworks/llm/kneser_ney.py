@@ -26,6 +26,8 @@ ORDER = 5
 BEGIN, END = 0x02, 0x03
 SYMBOLS = 256
 BLOCK_BYTES = 8 << 20
+#: Of the compression of what moves between tasks.
+LEVEL = 9
 #: Distinct n-grams of the model, and n-grams of blocks, that one task matches.
 SHARD_ROWS = 200_000
 SHARD_LOOKUPS = 4_000_000
@@ -34,6 +36,9 @@ SHARD_LOOKUPS = 4_000_000
 PRIOR_BYTES = 200
 #: Share of a language's trusted texts, of those not trained on, that are below its threshold.
 QUANTILE = 0.999
+#: A few hundred texts do not show how far good ones reach. So no threshold is closer to the median than
+#: this many times the distance from the median to the 0.9 quantile.
+SPREAD = 6.0
 #: Percentage of trusted texts that set the thresholds instead of training.
 HELD_OUT = 20
 
@@ -65,7 +70,7 @@ def _pack(codes) -> bytes:
     import numpy as np
     import zstandard
 
-    return zstandard.compress(np.diff(codes, prepend=np.int64(0)).tobytes(), 3)
+    return zstandard.compress(np.diff(codes, prepend=np.int64(0)).tobytes(), LEVEL)
 
 
 def _unpack(packed: bytes):
@@ -105,7 +110,7 @@ def _blocks(docs: DataFrame, text: str, doc: str, lang: str) -> DataFrame:
             ids.fill_null(0).to_numpy().tobytes(),
             ids.is_null().to_numpy(zero_copy_only=False).tobytes(),
             np.diff(offsets).tobytes(),
-            zstandard.compress(data.tobytes(), 3),
+            zstandard.compress(data.tobytes(), LEVEL),
             _pack(np.unique(np.concatenate(codes))),
         ]
         return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], schema=schema)
@@ -242,6 +247,7 @@ def model(counts: DataFrame, work: Work) -> tuple[list[DataFrame], list[DataFram
             joined = _null_safe(own.withColumn("s", _suffix(n - 1)), shorter, ["s"])
             result = joined.select("lang", "w", (F.col("own") + F.col("g") * F.col("q")).alias("p"))
         probabilities.append(work.stage(result, f"order{n}"))
+        work.drop(f"counts{n}")
         weights.append(contexts.select("lang", "h", "g"))
     return probabilities, weights
 
@@ -280,11 +286,14 @@ def _costs(blocks: DataFrame, probabilities: list[DataFrame], weights: list[Data
         rows = _null_safe(rows, p.select("lang", F.col("w").alias(f"s{n}"), F.col("p").alias(f"p{n}")), [f"s{n}"], "left")
         rows = _null_safe(rows, g.select("lang", F.col("h").alias(f"h{n}"), F.col("g").alias(f"g{n}")), [f"h{n}"], "left")
         rows = work.stage(rows.drop(f"s{n}", f"h{n}"), f"wanted{n}")
+        work.drop("wanted" if n == ORDER else f"wanted{n + 1}", f"order{n}", f"contexts{n}")
     total = F.lit(1.0 / SYMBOLS)
     for n in range(1, ORDER + 1):
         # Seen: its probability, which has the shorter ones in it. Not seen: what the context leaves.
         total = F.coalesce(F.col(f"p{n}"), F.coalesce(F.col(f"g{n}"), F.lit(1.0)) * total)
-    return work.stage(rows.select("lang", "w", (-F.log(total)).alias("cost")), "costs")
+    costs = work.stage(rows.select("lang", "w", (-F.log(total)).alias("cost")), "costs")
+    work.drop("wanted1")
+    return costs
 
 
 def _shard(codes, shards: int):
@@ -444,8 +453,8 @@ def perplexities(
     ``threshold`` of its language and ``kept``.
 
     ``trusted`` has the ids (column ``doc_id``) of trusted texts among ``docs``. ``held_out`` percent
-    of them, by a hash of the id, set the thresholds: by language the ``quantile`` of their scores.
-    All others train. Kept is what is not above the threshold. Empty and null texts, texts in a
+    of them, by a hash of the id, set the thresholds: by language the ``quantile`` of their scores,
+    or more if lower quantiles are far apart (``SPREAD``). All others train. Kept is what is not above the threshold. Empty and null texts, texts in a
     language (null is one) without training text, and those in one without held-out text have no
     perplexity or no threshold and are kept, as nothing speaks against them. Null ids are not trusted, repeated ids in
     ``trusted`` count once. Repeated rows have a row each, and each counts. Further columns are ignored.
@@ -459,7 +468,9 @@ def perplexities(
     costs = _costs(blocks, probabilities, weights, work)
     shards = max(1, -(-costs.count() // SHARD_ROWS), -(-blocks.count() * SHARD_ROWS // SHARD_LOOKUPS))
     answers = work.stage(_answers(blocks, costs, shards), "answers")
+    work.drop("costs")
     scores = work.stage(_scores(blocks, answers, shards), "scores")
+    work.drop("blocks", "answers")
 
     scores = scores.withColumn("_cost", F.when(F.col("_n") > 1, F.col("_cost")))
     judges = work.stage(scores.join(known.where(holds_out), "_id", "left_semi"), "judges")
@@ -471,8 +482,12 @@ def perplexities(
         shrunk = (F.col("_cost") + prior_bytes * F.col("_mean")) / (F.col("_n") + prior_bytes)
         return joined.withColumn("score", F.exp(shrunk))
 
-    limits = with_score(judges).groupBy("_lang").agg(
-        F.percentile_approx("score", quantile, 100_000).alias("threshold")
+    points = F.percentile_approx("score", [0.5, 0.9, quantile], 100_000)
+    limits = with_score(judges).groupBy("_lang").agg(points.alias("q")).select(
+        "_lang",
+        F.greatest(
+            F.col("q")[2], F.col("q")[0] + SPREAD * (F.col("q")[1] - F.col("q")[0])
+        ).alias("threshold"),
     )
     limits = F.broadcast(work.stage(limits.withColumnRenamed("_lang", "_m"), "limits"))
     return (

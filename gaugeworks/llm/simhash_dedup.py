@@ -263,6 +263,7 @@ def near_duplicates(
         apart.select(F.col("_id").alias("a"), F.col("id").alias("b"))
     )
     roots = components(links, work)
+    work.drop("lists")
     reps = work.stage(
         entries.join(roots.hint("merge"), "id", "left").select(
             "_fp", F.coalesce("root", "id").alias("_root")

@@ -90,7 +90,7 @@ def test_thresholds_are_by_language_and_junk_goes(spark):
     got = {r.doc_id: r for r in judged.collect()}
     assert not got[500].kept and not got[501].kept
     clean = [got[i].kept for i, _ in en + fr]
-    assert sum(clean) >= len(clean) - 4
+    assert sum(clean) >= 0.97 * len(clean)
     limits = {r.lang: r.threshold for r in got.values()}
     assert len(set(limits.values())) == 2
     left = keep_good(frame, trusted(spark, ids), quantile=1.0)
