@@ -229,7 +229,7 @@ def _published(spark: SparkSession, path: str) -> DataFrame:
     return _zoneless(spark.read.parquet(path).drop("batch_id"))
 
 
-ARRIVALS = 8
+ARRIVALS = 6
 
 
 def stream_window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
