@@ -190,15 +190,18 @@ def train(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             at, number, value, _ = features(batch.column(1).cast(pa.string()))
-            ends = np.searchsorted(at, np.arange(batch.num_rows + 1)).astype(np.int32)
-            columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x)) for x in (number.astype(np.int32), value)]
+            ends = np.searchsorted(at, np.arange(batch.num_rows + 1)).tolist()
+            columns = [
+                pa.array([x[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
+                for x in (number, value)
+            ]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["_id", "f", "x"])
 
-    found = texts.mapInArrow(run, "_id long, f array<int>, x array<double>").dropDuplicates(["_id"]).collect()
+    found = texts.mapInArrow(run, "_id long, f binary, x binary").dropDuplicates(["_id"]).collect()
     found.sort(key=lambda row: row["_id"])
-    at = np.repeat(np.arange(len(found)), [len(row["f"]) for row in found])
-    number = np.concatenate([np.array(row["f"], np.int64) for row in found])
-    value = np.concatenate([np.array(row["x"], float) for row in found])
+    at = np.repeat(np.arange(len(found)), [len(row["f"]) // 8 for row in found])
+    number = np.concatenate([np.frombuffer(row["f"], np.int64) for row in found])
+    value = np.concatenate([np.frombuffer(row["x"]) for row in found])
     bad = np.array([ids[row["_id"]] for row in found])
     return fit(at, number, value, grades(at, number, value, bad))
 
