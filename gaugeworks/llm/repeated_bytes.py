@@ -213,7 +213,10 @@ def _sorted_marks(contexts: DataFrame, length: int) -> DataFrame:
         if held:
             yield marks(held)
 
-    dealt = contexts.repartition("key").sortWithinPartitions(*RUN)
+    # Sorting takes far longer than moving, so tasks are sized by what they sort.
+    size = contexts.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    parts = 1 + size // (2 * SORT_BYTES)
+    dealt = contexts.repartition(parts, "key").sortWithinPartitions(*RUN)
     return dealt.select(*RUN, "copied", "bytes").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
