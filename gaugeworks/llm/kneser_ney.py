@@ -34,10 +34,12 @@ SHARD_LOOKUPS = 4_000_000
 #: A text's mean cost is taken with this many bytes of average cost, so that a handful of odd words
 #: does not decide on a short text.
 PRIOR_BYTES = 200
-#: Share of a language's trusted texts, of those not trained on, that are below its threshold.
-QUANTILE = 0.999
-#: A few hundred texts do not show how far good ones reach. So no threshold is closer to the median than
-#: this many times the distance from the median to the 0.9 quantile.
+#: Share of a language's trusted texts, of those not trained on, that are below its threshold. A share
+#: nearer to one would be the maximum of fewer than a hundred texts, which one wrong label decides.
+QUANTILE = 0.98
+#: For its sampling error the quantile is widened by so many distances from the median to the 0.9 quantile
+#: over the root of n, the number of held-out texts, and by one part in that root more as the distance is
+#: from them too. That is two to three standard errors if scores are normal, and vanishes as n grows.
 SPREAD = 6.0
 #: Percentage of trusted texts that set the thresholds instead of training.
 HELD_OUT = 20
@@ -453,8 +455,9 @@ def perplexities(
     ``threshold`` of its language and ``kept``.
 
     ``trusted`` has the ids (column ``doc_id``) of trusted texts among ``docs``. ``held_out`` percent
-    of them, by a hash of the id, set the thresholds: by language the ``quantile`` of their scores,
-    or more if lower quantiles are far apart (``SPREAD``). All others train. Kept is what is not above the threshold. Empty and null texts, texts in a
+    of them, by a hash of the id, set the thresholds: by language the ``quantile`` of their scores and
+    an allowance for its sampling error (``SPREAD``), which vanishes as they grow in number. All others
+    train. Kept is what is not above the threshold. Empty and null texts, texts in a
     language (null is one) without training text, and those in one without held-out text have no
     perplexity or no threshold and are kept, as nothing speaks against them. Null ids are not trusted, repeated ids in
     ``trusted`` count once. Repeated rows have a row each, and each counts. Further columns are ignored.
@@ -483,11 +486,13 @@ def perplexities(
         return joined.withColumn("score", F.exp(shrunk))
 
     points = F.percentile_approx("score", [0.5, 0.9, quantile], 100_000)
-    limits = with_score(judges).groupBy("_lang").agg(points.alias("q")).select(
-        "_lang",
-        F.greatest(
-            F.col("q")[2], F.col("q")[0] + SPREAD * (F.col("q")[1] - F.col("q")[0])
-        ).alias("threshold"),
+    root = F.sqrt("n")
+    error = SPREAD * (F.col("q")[1] - F.col("q")[0]) / root * (1 + 1 / root)
+    limits = (
+        with_score(judges)
+        .groupBy("_lang")
+        .agg(points.alias("q"), F.count("score").alias("n"))
+        .select("_lang", (F.col("q")[2] + error).alias("threshold"))
     )
     limits = F.broadcast(work.stage(limits.withColumnRenamed("_lang", "_m"), "limits"))
     return (

@@ -97,6 +97,16 @@ def test_thresholds_are_by_language_and_junk_goes(spark):
     assert {r.doc_id for r in left.collect()} == {i for i, r in got.items() if r.kept}
 
 
+def test_the_quantile_decides_where_many_texts_are_held_out(spark):
+    rng = random.Random(5)
+    frame = docs(spark, [(i, words(rng, 40, 60)) for i in range(600)])
+    rows = perplexities(frame, trusted(spark, range(600)), quantile=0.5, held_out=60).collect()
+    left = keep_good(frame, trusted(spark, range(600)), quantile=0.5, held_out=60).count()
+    assert left == sum(r.kept for r in rows)
+    # Half of the held-out texts and an allowance; those trained on have lower scores.
+    assert 0.02 * len(rows) < len(rows) - left < 0.4 * len(rows)
+
+
 def test_nulls_repeats_and_clashing_names(spark):
     rng = random.Random(3)
     good = [(i, words(rng, 50, 30)) for i in range(40)]
