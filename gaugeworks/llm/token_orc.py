@@ -31,6 +31,9 @@ ROWS_PER_INDEX = 1000
 #: A word of lower-case Latin letters up to U+00FF is in normal form, and one piece. After a letter, a
 #: full stop or comma at the end is a piece of its own.
 PLAIN = re.compile("([a-z\u00df-\u00f6\u00f8-\u00ff]+)([.,]?)").fullmatch
+#: A capital and what may be a combining mark. Some compose in lower case only, so the library, which
+#: composes before it lower-cases, must see the capitals of such texts.
+MARKED = r"[A-Z][\x{300}-\x{10FFFF}]"
 
 
 @cache
@@ -73,7 +76,7 @@ class WordEncoder:
         return array("i", [t.id for t in self.merge(word)]).tobytes()
 
     def words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word as int32 bytes. Words come with A-Z in lower case."""
+        """The ids of each word as int32 bytes. Words with A-Z are left to the library."""
         if len(self.known) > self.half:
             self.known, self.older = {}, self.known
         known, older, marks = self.known, self.older, self.marks
@@ -106,8 +109,9 @@ class WordEncoder:
             found = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
             sizes = np.fromiter((len(x.ids) for x in found), np.int64, len(found))
             return np.concatenate([np.array(x.ids, np.int32) for x in found]), sizes
-        # Lower-casing A-Z is part of the encoding.
-        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        # Lower-casing A-Z is part of the encoding, but comes after composing.
+        late = pc.match_substring_regex(texts, MARKED)
+        split = pc.ascii_split_whitespace(pc.if_else(late, texts, pc.ascii_lower(texts)))
         coded = split.flatten().dictionary_encode()
         ids = self.words(coded.dictionary.to_pylist())
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4

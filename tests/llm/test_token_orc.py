@@ -17,6 +17,8 @@ ODD = [
     "", " ", "\n\t", "Hello, World.", "it's we'll THEY'RE don't.", "a.b,c..d,,", "...", ".,", "x.", "É.", "é́.", "É,",
     "<|endoftext|>", "<|ENDOFTEXT|>", "x<|endoftext|>y.", "<|startoftext|>.", "İstanbul ΣΑΣ. ς", "naïve café x",
     "١٢٣ ½ ²", "日本語、テスト。", "á ́b .́", "\x0b\x0cx\x1cy\x85z", "KK. Å.", "1.", "a1. 2,", "😀😀.", "ß.", "ﬁ.",
+    # Capitals that compose with their mark in lower case only.
+    "T\u0308", "J\u030c", "H\u0331", "W\u030a.", "Y\u030a", "The T\u0308AJ\u030cT\u0323\u0308 t\u0308 AND A\u0308.", "T\u0344",
 ]
 
 
