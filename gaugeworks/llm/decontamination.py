@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Tokens are words (runs of letters and digits in lower case). Running Karp-Rabin hashes of
+Tokens are words (runs of letters and digits in lower case), and single characters of scripts that put no
+spaces between words. Running Karp-Rabin hashes of
 ``min_match`` tokens give the seeds. Documents are compared with a bit field of the benchmark's
 seeds, whose size is fixed, and only what passes is joined with the seeds themselves. For each pair
 of document and item, seeds on one diagonal are chained to maximal matches. The longest match is
@@ -25,6 +26,8 @@ COVERAGE = 0.6
 #: Bits of the field that documents are compared with: 16 MB, whatever the size of the benchmark.
 FIELD_BITS = 27
 BASE = 0x9E3779B97F4A7C15
+#: Characters of scripts without spaces between words: each is a token.
+UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}])"
 _AGG_BITS = 15  # Spark's bitmaps have 2^15 bits
 
 
@@ -36,6 +39,7 @@ def rolling_hashes(texts: pa.Array, n: int):
     from xxhash import xxh64_intdigest
 
     bare = pc.replace_substring_regex(pc.utf8_lower(texts), r"[^\p{L}\p{N}]+", " ")
+    bare = pc.replace_substring_regex(bare, UNSPACED, r" \1 ")
     split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(bare))
     size = split.value_lengths().to_numpy().astype(np.int64)
     coded = split.flatten().dictionary_encode()

@@ -44,6 +44,22 @@ def test_tiles_equal_brute_force(seed):
     assert tiles(pairs, n) == brute_tiles(doc, item, n)
 
 
+def test_scripts_without_spaces(spark):
+    items = [
+        (1, "水の沸点は標高が高いほど低くなる"),
+        (2, "中国最长的河流是哪一条，它流经多少个省份？"),
+        (3, "ต้นไม้ที่สูงที่สุดในโลกอยู่ที่ไหน"),
+        (4, "ラーメンabcとカレー"),
+    ]
+    texts = [(10 * i, f"前文{t}。後文") for i, t in items] + [
+        (21, "它流经多少个省份？ 中国最长的河流是哪一条"),
+        (50, "中国最高的山在哪里？水は冷たい。"),
+    ]
+    found = contaminated(docs(spark, texts), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(10, 1), (20, 2), (30, 3), (40, 4), (21, 2)}
+    assert {r.item_id: r.item_tokens for r in found}[2] == 19
+
+
 def test_whole_reordered_and_partial_passages(spark):
     rng = random.Random(5)
     item = words(rng, 40, 10_000).split()
