@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 TOKEN = re.compile(
@@ -22,7 +23,7 @@ BLOCKS = frozenset(
 )
 #: Elements whose content is not text of the page. Up to ``textarea`` it isn't markup either.
 RAW = ("script", "style", "title", "textarea", "xmp", "iframe", "noembed", "noframes")
-HIDDEN = frozenset((*RAW, "noscript", "template", "svg", "math", "object", "select", "button", "head"))
+HIDDEN = frozenset((*RAW, "noscript", "template", "svg", "select", "button", "head"))
 FIELDS = frozenset(("input", "select", "button", "textarea", "label"))
 BREAKS = frozenset(("br", "hr", "wbr", "img"))
 #: An open element of the first kind ends where one of the second kind begins.
@@ -96,6 +97,7 @@ def parse(page: str) -> list[Node]:
         state["link"] = 0
 
     at, hidden = 0, []
+    inside: Counter[str] = Counter()  # blocks opened within what is hidden
     for match in TOKEN.finditer(page):
         if match.start() < at:
             continue  # within raw text
@@ -117,6 +119,14 @@ def parse(page: str) -> list[Node]:
                 hidden.append(tag)
             elif tag == "body":
                 hidden.clear()
+            elif tag in BLOCKS and not ending:
+                inside[tag] += 1
+            elif tag in BLOCKS and inside[tag]:
+                inside[tag] -= 1
+            elif tag in BLOCKS and any(nodes[i].tag == tag for i in stack[1:]):
+                hidden.clear()  # the block around it ends
+            if not hidden:
+                inside.clear()
             if hidden and not (tag in RAW and not ending):
                 continue
         if tag in FIELDS and not ending:

@@ -41,6 +41,21 @@ def test_blocks_of_odd_markup(page, want):
     assert blocks(page) == want
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<p>a <math><mi>x</mi></math> b</p>", ["a x b"]),
+        ("<div><object data=f><p>o</p></object>p</div>", ["o", "p"]),
+        ("<div><button>b</div><p>c</p>", ["c"]),
+        ("<div>a<svg><text>s</div><p>c</p>", ["a", "c"]),
+        ("<div>a <noscript><div>n</div>m</noscript>b</div>", ["a b"]),
+        ("<p>a<noscript><p>n</p>m</noscript> b</p>c", ["a b", "c"]),
+    ],
+)
+def test_hidden_elements_end_with_the_block_around_them(page, want):
+    assert [" ".join(t.split()) for t in blocks(page)] == want
+
+
 def test_parents_come_before_their_children():
     for seed in range(30):
         nodes = parse(Composer(seed).page()[0])
