@@ -16,7 +16,8 @@ text through several shuffles. So suffixes are first brought together by content
    difference-cover algorithm, and adjacent suffixes are compared over ``length`` bytes.
    Representatives with very many distinct runs are dealt out by string instead.
 
-Every comparison that decides is on whole strings; hashes stand for runs as pairs of 64 bits.
+In step 3 whole strings are compared. Copies, the inside of passages (step 2) and strings that are dealt
+out are told apart by hashes alone, of 64 + 64 bits.
 """
 
 from __future__ import annotations
