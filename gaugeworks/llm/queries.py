@@ -13,6 +13,7 @@ from gaugeworks.llm import (
     embedding_dedup,
     html_extraction,
     kneser_ney,
+    language_id,
     line_dedup,
     repeated_bytes,
     simhash_dedup,
@@ -109,6 +110,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language_id.train(docs.where(~language_id.held_out()))
+    held = F.coalesce(language_id.held_out(), F.lit(False)).alias("held_out")
+    return language_id.predict(docs, model).select("doc_id", held, "lang_pred", "score")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_orc": op1_token_orc,
     "op2_toxicity": op2_toxicity,
@@ -120,6 +128,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash": op10_simhash,
+    "op13_language_id": op13_language_id,
 }
 
 
