@@ -15,6 +15,7 @@ from gaugeworks.llm import (
     kneser_ney,
     language_id,
     line_dedup,
+    periodic_runs,
     repeated_bytes,
     simhash_dedup,
     token_orc,
@@ -110,6 +111,27 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(documents(spark, sf_dir), tail=periodic_runs.periodic_tail)
+    # By start, then period, so the first of several with the greatest exponent is kept.
+    best = F.aggregate(
+        "runs",
+        F.get("runs", F.lit(0)),
+        lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.call_function("div", F.lit(1000) * F.col("best.length"), F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language_id.train(docs.where(~language_id.held_out()))
@@ -128,6 +150,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash": op10_simhash,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_language_id": op13_language_id,
 }
 
