@@ -16,6 +16,7 @@ from gaugeworks.llm import (
     language_id,
     line_dedup,
     periodic_runs,
+    phrases,
     repeated_bytes,
     simhash_dedup,
     token_orc,
@@ -111,6 +112,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(documents(spark, sf_dir))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periodic_runs.periodic_runs(documents(spark, sf_dir), tail=periodic_runs.periodic_tail)
     # By start, then period, so the first of several with the greatest exponent is kept.
@@ -150,6 +155,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash": op10_simhash,
+    "op11_phrases": op11_phrases,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_language_id": op13_language_id,
 }
