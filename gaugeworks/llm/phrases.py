@@ -4,7 +4,7 @@ The graph of a language has the three words before and behind each occurrence of
 as its nodes, and the four words as a weighted edge between them. All counts come from the edges:
 
 1. Tasks count the edges of blocks of text, and Spark adds them up. Where a piece ends, an edge leads to
-   the end: it stands for the last three, two or one words, and is the correction that shorter counts need.
+   its end: it stands for the last three, two or one words, and is the correction that shorter counts need.
 2. Three words occur as often as flows out of their node, ends included; two words as often as all three
    words that begin with them, or end there; one word likewise.
 3. Nodes with one way in and one way out that carry the same flow are compacted: an unbranched path is
@@ -14,10 +14,10 @@ as its nodes, and the four words as a weighted edge between them. All counts com
    longer phrase that holds a phrase holds also one with one word more, at least as often, so it is
    enough to look at those.
 
-Before that, a field of fixed size tells which neighbouring words surely occur too seldom to be in any
-phrase: words are counted in pairs by hash, and a field with a low count can only hold rare pairs. A
-rare pair ends a piece. That changes no count that is used, and leaves far fewer edges; if the field is
-crowded, as with a very large corpus, there are more edges and the same result.
+Before that, two fields of fixed size tell what surely occurs too seldom to be in any phrase: pairs of
+words, and then threes of them, are counted by hash, and a place with a low count can only hold rare
+ones. An edge is cut before the word that makes it rare. That changes no count that is used, and leaves far fewer edges; if the fields are crowded, as with a
+very large corpus, there are more edges and the same result.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import Work, binary_bytes, runs, slices, utf8
+from gaugeworks.llm.common import Work, binary_bytes, release, slices, utf8
 
 #: Words of an edge, and of the longest phrase.
 ORDER = 4
@@ -40,8 +40,8 @@ SAME = 80
 SCALE = 2_000_000
 NO_LANGUAGE = "und"
 #: Bytes of text whose words are counted together.
-BLOCK_BYTES = 16 << 20
-#: Of the field of rare pairs, 16 MB whatever the size of the corpus.
+BLOCK_BYTES = 8 << 20
+#: Of a field, 16 MB whatever the size of the corpus.
 FIELD_BITS = 27
 _AGG_BITS = 15  # Spark's bitmaps have 2^15 bits
 #: Edges of a path in one row; longer paths take several.
@@ -86,11 +86,10 @@ class Block:
         if len(split):  # a text's begin cuts a word in two
             begins, ends = np.sort(np.concatenate([begins, split])), np.sort(np.concatenate([ends, split]))
         # A piece ends at a mark or a text's end between a word and the next one.
-        marks = np.zeros(len(data) + 1, np.int32)
-        np.cumsum(end[data], dtype=np.int32, out=marks[1:])
-        text = np.searchsorted(offsets, begins, "right")
+        marks = np.flatnonzero(end[data])
+        piece = np.searchsorted(marks, begins) + np.searchsorted(offsets, begins, "right")
         self.joined = np.zeros(len(begins), bool)
-        self.joined[:-1] = (marks[ends[:-1]] == marks[begins[1:]]) & (text[:-1] == text[1:])
+        self.joined[:-1] = piece[:-1] == piece[1:]
         sizes = np.concatenate([[0], np.cumsum(ends - begins)])
         wide = sizes[-1] >= 1 << 31
         words = pa.Array.from_buffers(
@@ -98,7 +97,7 @@ class Block:
             len(begins),
             [None, pa.py_buffer(sizes.astype(np.int64 if wide else np.int32).tobytes()), pa.py_buffer(data[~stop[data]].tobytes())],
         ).dictionary_encode()
-        self.number = words.indices.to_numpy().astype(np.int64) + 1
+        self.number = words.indices.to_numpy() + np.int32(1)
         self.spelled = words.dictionary
         self.own = len(begins) if limit is None else int(np.searchsorted(begins, limit))
 
@@ -150,69 +149,97 @@ def _parts(data: bytes) -> Iterator[tuple[bytes, int]]:
         begin = end
 
 
-def _pair_places(block: Block, name: str):
-    """By word the place in the field of it and the next word."""
+def _hashes(block: Block, name: str):
+    """A hash of each different word, by its number; 0 is none."""
     import numpy as np
     from xxhash import xxh3_64_intdigest
 
     seed = xxh3_64_intdigest(name.encode())
-    hashes = [0, *(xxh3_64_intdigest(w, seed) for w in block.spelled.to_pylist())]
-    h = np.array(hashes, np.uint64)[block.number]
-    both = h[:-1] * np.uint64(K1) + h[1:] * np.uint64(K2)
-    both ^= both >> np.uint64(32)
-    both *= np.uint64(K1)
-    return (both >> np.uint64(64 - FIELD_BITS)).astype(np.int64)
+    return np.array([0, *(xxh3_64_intdigest(w, seed) for w in block.spelled.to_pylist())], np.uint64)
 
 
-def _field(texts: DataFrame, least: int):
-    """A bit for each place of the field that ``least`` or more pairs of words fall on: at most 4096
-    rows of 4 KB reach the driver."""
+def _place(hashes, k: int):
+    """The place in a field of each ``k`` words that follow each other, by the first one."""
+    import numpy as np
+
+    mixed = hashes[: max(len(hashes) - k + 1, 0)]
+    for at in range(1, k):
+        mixed = mixed * np.uint64(K1) + hashes[at : at + len(mixed)]
+        mixed = mixed ^ (mixed >> np.uint64(32))
+    return ((mixed * np.uint64(K2)) >> np.uint64(64 - FIELD_BITS)).astype(np.int32)
+
+
+def _known(bits, place):
+    """Whether the field has a bit at each place."""
+    import numpy as np
+
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+def _pairs(block: Block, hashes, bits):
+    """Whether each word and the next one may be in a phrase."""
+    may = block.joined.copy()
+    may[:-1] &= _known(bits, _place(hashes[block.number], 2))
+    may[-1:] = False
+    return may
+
+
+def _field(texts: DataFrame, least: int, pairs=None):
+    """A bit for each place of the field that ``least`` or more pairs of words fall on, or three words if
+    the field of the pairs is given: at most 4096 rows of 4 KB reach the driver."""
     import numpy as np
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, block in blocks(batches):
-            places = _pair_places(block, name)
-            joined = block.joined[:-1].copy()
-            joined[block.own :] = False
-            place, n = np.unique(places[joined].astype(np.int32), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(n.astype(np.int32))], ["place", "n"])
-
-    counts = texts.mapInArrow(run, "place int, n int").groupBy("place").agg(F.sum("n").alias("n"))
+            hashes = _hashes(block, name)
+            if pairs is None:
+                place = _place(hashes[block.number], 2)
+                use = block.joined[:-1].copy()
+            else:
+                may = _pairs(block, hashes, pairs.value)
+                place = _place(hashes[block.number], 3)
+                use = (may & _shifted(may, 1))[: len(place)]
+            use[block.own :] = False
+            place, n = np.unique(place[use], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(n)], ["place", "n"])
+
+    counts = texts.mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
     bits = F.bitmap_construct_agg((F.col("place") % (1 << _AGG_BITS)).cast("long")).alias("bits")
     rows = counts.where(F.col("n") >= least).groupBy(F.shiftright("place", _AGG_BITS).alias("at")).agg(bits)
     whole = np.zeros(1 << (FIELD_BITS - 3), np.uint8)
     size = 1 << (_AGG_BITS - 3)
     for row in rows.collect():
         whole[row["at"] * size : (row["at"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
-    return whole
+    del counts, rows
+    release(texts.sparkSession)
+    return texts.sparkSession.sparkContext.broadcast(whole)
 
 
-def _edges(texts: DataFrame, field) -> DataFrame:
-    """``lang``, ``w1`` to ``w4`` and ``n``: an edge per different four words, or, with nulls behind, per
-    different last words of a piece."""
+def _edges(texts: DataFrame, pairs, triples) -> DataFrame:
+    """``lang``, ``w1`` to ``w4`` and ``n``: an edge per different four words. With nulls behind, its first
+    words, where the piece ends or, by the fields, no phrase goes on."""
     import numpy as np
 
     names = ["lang", *WORDS, "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = field.value
         for name, block in blocks(batches):
-            number, joined = block.number, block.joined
+            number = block.number
             if not len(number):
                 continue
-            place = _pair_places(block, name)
-            joined = joined.copy()
-            joined[:-1] &= (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-            joined[-1] = False
-            # The next words as far as the piece goes, 0 behind.
-            following, alive = [number], np.ones(len(number), bool)
-            for k in range(1, ORDER):
-                alive = alive & _shifted(joined, k - 1)
-                following.append(np.where(alive, _shifted(number, k), 0))
-            columns = [c[: block.own] for c in following]
+            hashes = _hashes(block, name)
+            two = _pairs(block, hashes, pairs.value)
+            three = two & _shifted(two, 1)
+            place = _place(hashes[number], 3)
+            three[: len(place)] &= _known(triples.value, place)
+            four = three & _shifted(three, 1)
+            columns = [number]
+            columns += [np.where(more, _shifted(number, k), 0) for k, more in enumerate((two, three, four), 1)]
+            columns = [c[: block.own].astype(np.int64) for c in columns]
             size = len(block.spelled) + 1
             low, low_at = np.unique(columns[0] * size + columns[1], return_inverse=True)
             high, high_at = np.unique(columns[2] * size + columns[3], return_inverse=True)
+            del columns, two, three, four, place
             both, n = np.unique(low_at * len(high) + high_at, return_counts=True)
             first, last = low[both // len(high)], high[both % len(high)]
             for some in range(0, len(both), 1 << 16):
@@ -360,8 +387,9 @@ def mine(
     work = Work(docs.sparkSession, "phrases")
     name = F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANGUAGE)).alias("lang")
     texts = docs.select(name, utf8(text).alias("_text")).where(F.octet_length("_text") > 0)
-    field = docs.sparkSession.sparkContext.broadcast(_field(texts, least))
-    edges = work.stage(_edges(texts, field), "edges")
+    pairs = _field(texts, least)
+    triples = _field(texts, least, pairs)
+    edges = work.stage(_edges(texts, pairs, triples), "edges")
     by = levels(edges, work)
     rows = paths(edges, by[ORDER - 1], least, work)
     known = work.stage(counts(by, rows, least), "counts")

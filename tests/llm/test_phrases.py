@@ -79,7 +79,8 @@ def test_equals_brute_force(spark, seed, least, top):
 
 def test_a_crowded_field_changes_nothing(spark, monkeypatch):
     rows = sample(5)
-    monkeypatch.setattr(phrases, "_field", lambda texts, least: np.full(1 << (phrases.FIELD_BITS - 3), 255, np.uint8))
+    full = spark.sparkContext.broadcast(np.full(1 << (phrases.FIELD_BITS - 3), 255, np.uint8))
+    monkeypatch.setattr(phrases, "_field", lambda texts, least, pairs=None: full)
     assert answers(table(spark, rows), least=3) == brute(rows, 3)
 
 
@@ -112,8 +113,8 @@ def test_paths_are_unbranched_and_whole(spark, monkeypatch):
     rows = [(text, "en")] * 5 + [("p10 p11 p12 p13 q1 q2 q3 q4. x x x x x x x", "en")] * 3
     frame = table(spark, rows).selectExpr("lang", "cast(text as binary) as _text")
     work = Work(spark, "test")
-    field = spark.sparkContext.broadcast(phrases._field(frame, 2))
-    edges = work.stage(phrases._edges(frame, field), "edges")
+    pairs = phrases._field(frame, 2)
+    edges = work.stage(phrases._edges(frame, pairs, phrases._field(frame, 2, pairs)), "edges")
     found = phrases.paths(edges, phrases.levels(edges, work)[3], 2, work).orderBy("path", "part").collect()
     whole = defaultdict(list)
     for r in found:
