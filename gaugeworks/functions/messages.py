@@ -48,11 +48,15 @@ def is_single(value: Column) -> Column:
     gets through ``parse_whole``, is not legal after an element of an array; and what would be a
     second element is not legal in an object. Together they leave nothing over.
 
-    The function that counts elements knows no bare NaN or Infinity, so they are replaced by a digit;
-    inside a string this does no harm, as only elements are counted.
+    A text that begins with a brace and has its only closing one at its end is one object or malformed, so
+    ordinary messages need no such count. The function that counts elements knows no bare NaN or Infinity,
+    so they are replaced by a digit; inside a string this does no harm, as only elements are counted.
     """
-    plain = F.regexp_replace(value.cast("string"), r"-?\b(NaN|Infinity)\b", "0")
-    return F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1
+    text = value.cast("string")
+    plain = F.regexp_replace(text, r"-?\b(NaN|Infinity)\b", "0")
+    counted = F.json_array_length(F.concat(F.lit("["), plain, F.lit("]"))) == 1
+    closed = F.instr(text, "}") == F.char_length(text)
+    return F.when(F.startswith(text, F.lit("{")) & closed, F.lit(True)).otherwise(counted)
 
 
 def decode(messages: DataFrame, value: str = "value") -> DataFrame:

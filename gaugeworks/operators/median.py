@@ -1,10 +1,17 @@
 """Second aggregation step: cells to one row per (window, type).
 
 Counts and temperature sums simply add up. A group's exact median is the humidity at its middle
-rank, or the mean of the two middle ones. Most groups have few distinct values: their cells are
-shuffled once and sorted, and one pass finds ranks, middles and sums. A group with more cells than
-one task should sort is instead range-partitioned by value: slice totals tell which slice holds the
-middle, and only that slice is looked into, if need be by slicing it again.
+rank, or the mean of the two middle ones.
+
+In batch (``fold_readings``) nothing is stored for groups of bounded size: their readings are shuffled
+once by group and sorted, and one pass finds ranks, middles and sums. Of a larger group a quantile
+sketch tells between which values the middle lies; the readings below and above collapse into one cell
+each, and only those between keep their values.
+
+Cells that are stored anyway, a stream's closed windows or what is between the bounds of a large group,
+go to ``fold_cells``. A group with more cells than one task should sort is range-partitioned by value
+there: slice totals tell which slice holds the middle, and only that slice is looked into, if need be by
+slicing it again.
 """
 
 from __future__ import annotations
@@ -12,13 +19,102 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.exact_sum import BAND, PIECES, band_pieces, exact_sum_value
-from gaugeworks.operators.cells import GROUP
+from gaugeworks.functions.exact_sum import BAND, PIECES, band_pieces, exact_sum_columns, exact_sum_value
+from gaugeworks.operators.cells import GROUP, add_up, grouped_readings
 from gaugeworks.operators.joins import join_lookup
 from gaugeworks.settings import DEFAULTS, Settings
 from gaugeworks.storage import scratch_path, staged
 
 
+#: Beyond all readings below, and above, what may be the middle.
+BELOW, ABOVE = float("-inf"), float("nan")
+
+
+def fold_readings(
+    readings: DataFrame, settings: Settings = DEFAULTS, work: str | None = None, seen_at: Column | None = None
+) -> DataFrame:
+    """Per group of ``readings``: ``n_events``, ``mean_temperature``, ``median_humidity`` (both unrounded),
+    and with ``seen_at`` the ``type_name`` last seen.
+
+    Tables are written below ``work`` only if some group has more readings than one task should
+    sort: those groups, and their readings near the middle. See ``fold_cells`` on ``work``.
+    """
+    named = [F.col("type_name"), seen_at.alias("seen_at")] if seen_at is not None else []
+    rows = grouped_readings(readings, settings.window, *named)
+    rows = rows.withColumn("window_start", F.col("window.start")).drop("window")
+    sizes = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("readings"))
+    large = sizes.where(F.col("readings") > settings.group_cells_per_task)
+    if large.isEmpty():
+        return _sorted_in_place(rows)
+
+    work = work or scratch_path(readings.sparkSession, "fold")
+    large = staged(large, f"{work}/large")
+    split = {"broadcast": _few(large.count(), settings), "salts": settings.salts}
+    keys = large.select(*GROUP)
+    small = join_lookup(rows, keys, GROUP, "left_anti", **split)
+    cells = _near_the_middle(join_lookup(rows, keys, GROUP, "left_semi", **split), large, split, settings, work)
+    return _sorted_in_place(small).unionByName(fold_staged(cells, settings, work))
+
+
+def _few(groups: int, settings: Settings) -> bool:
+    """Whether so many groups may be broadcast; a key and its bounds take five words."""
+    return groups <= settings.broadcast_max_rows and groups * 40 <= settings.broadcast_max_bytes
+
+
+def _sorted_in_place(rows: DataFrame) -> DataFrame:
+    """Groups of bounded size from their readings: the only shuffle is that by group."""
+    ranked = _positions(rows.withColumn("n", F.lit(1).cast("long")), GROUP, "humidity", "n")
+    pieces = exact_sum_columns(F.col("temperature"))
+    return _folded(ranked.withColumns(pieces))
+
+
+def _near_the_middle(rows: DataFrame, large: DataFrame, split: dict, settings: Settings, work: str) -> DataFrame:
+    """Stored cells of the ``large`` groups in which all readings below the middle ones have the value
+    ``BELOW``, and all above them ``ABOVE``.
+
+    The bounds come from a sketch. A group whose middle turns out to lie outside of them gets wider
+    ones, in the end none at all.
+    """
+    capped = F.when(F.isnan("humidity"), F.lit(float("inf"))).otherwise(F.col("humidity"))
+    sketch = F.kll_sketch_agg_double(capped, F.lit(settings.sketch_size)).alias("sketch")
+    sketches = staged(rows.groupBy(*GROUP).agg(sketch), f"{work}/sketches")
+    pending, margin, done, level = large.select(*GROUP, "readings"), settings.sketch_margin, [], 0
+    while True:
+        known = pending.join(sketches.hint("merge"), GROUP)
+        low, high = F.lit(BELOW), F.lit(ABOVE)
+        if margin < 0.5:
+            low = F.kll_sketch_get_quantile_double("sketch", F.lit(0.5 - margin))
+            high = F.kll_sketch_get_quantile_double("sketch", F.lit(0.5 + margin))
+        known = known.select(*GROUP, "readings", low.alias("low"), high.alias("high"))
+        bounds = staged(known, f"{work}/bounds-{level}")
+        found = join_lookup(rows, bounds.drop("readings"), GROUP, "inner", **split)
+        humidity, infinite = F.col("humidity"), F.col("high") == F.lit(float("inf"))
+        zone = F.when(humidity < F.col("low"), -1).when(~infinite & (humidity > F.col("high")), 1).otherwise(0)
+        value = F.when(zone < 0, F.lit(BELOW)).when(zone > 0, F.lit(ABOVE)).otherwise(humidity)
+        found = found.withColumn("zone", zone).withColumn("humidity", value).drop("low", "high")
+        cells = staged(add_up(found, *GROUP, "humidity", "zone"), f"{work}/near-{level}")
+        sides = cells.groupBy(*GROUP).agg(
+            F.sum(F.when(F.col("zone") < 0, F.col("n")).otherwise(0)).alias("below"),
+            F.sum(F.when(F.col("zone") == 0, F.col("n")).otherwise(0)).alias("between"),
+        )
+        lower = F.call_function("div", F.col("readings") - 1, F.lit(2))
+        upper = F.call_function("div", F.col("readings"), F.lit(2))
+        missed = bounds.join(sides.hint("merge"), GROUP).where(
+            (F.col("below") > lower) | (F.col("below") + F.col("between") <= upper)
+        )
+        missed = staged(missed.select(*GROUP, "readings"), f"{work}/missed-{level}")
+        cells = cells.drop("zone")
+        if missed.isEmpty():
+            done.append(cells)
+            break
+        done.append(join_lookup(cells, missed.select(*GROUP), GROUP, "left_anti", **split))
+        pending, margin, level = missed, margin * 8, level + 1
+    whole = done[0]
+    for more in done[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
 def fold_cells(
     cells: DataFrame, settings: Settings = DEFAULTS, work: str | None = None
 ) -> DataFrame:
@@ -34,10 +130,10 @@ def fold_cells(
     return fold_staged(staged(cells, f"{work}/cells"), settings, work)
 
 
-def fold_staged(cells: DataFrame, settings: Settings, work: str) -> DataFrame:
-    """``fold_cells`` for cells that are a stored table already."""
+def fold_staged(cells: DataFrame, settings: Settings, work: str, total: int | None = None) -> DataFrame:
+    """``fold_cells`` for cells that are a stored table already, of ``total`` rows if that is known."""
     limit = settings.group_cells_per_task
-    if cells.count() <= limit:
+    if (cells.count() if total is None else total) <= limit:
         return _in_place(cells)
 
     sizes = staged(cells.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("cells")), f"{work}/sizes")
@@ -47,11 +143,7 @@ def fold_staged(cells: DataFrame, settings: Settings, work: str) -> DataFrame:
         return _in_place(cells)
 
     large = large.select(*GROUP)
-    # A group's key takes two words.
-    few = (
-        found["groups"] <= settings.broadcast_max_rows
-        and found["groups"] * 16 <= settings.broadcast_max_bytes
-    )
+    few = _few(found["groups"], settings)
     split = {"broadcast": few, "salts": settings.salts}
     small_cells = join_lookup(cells, large, GROUP, "left_anti", **split)
     large_cells = join_lookup(cells, large, GROUP, "left_semi", **split)
@@ -67,7 +159,8 @@ def _names(frame: DataFrame) -> list[Column]:
     if "type_name" not in frame.columns:
         return []
     return [
-        F.max_by("type_name", "seen_at").alias("type_name"),
+        # Of names last seen at one time the greatest is taken, so the result does not depend on order.
+        F.max_by("type_name", F.struct("seen_at", "type_name")).alias("type_name"),
         F.max("seen_at").alias("seen_at"),
     ]
 
@@ -78,7 +171,10 @@ def _sums(*names: str) -> list[Column]:
 
 def _in_place(cells: DataFrame) -> DataFrame:
     """Groups of bounded size: one shuffle by group and one sort, then everything in place."""
-    ranked = _positions(cells, GROUP, "humidity", "n")
+    return _folded(_positions(cells, GROUP, "humidity", "n"))
+
+
+def _folded(ranked: DataFrame) -> DataFrame:
     middle = F.when(_holds_middle("n"), F.col("humidity"))
     banded = ranked.groupBy(*GROUP, BAND).agg(
         *_sums("n", *PIECES),

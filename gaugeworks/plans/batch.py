@@ -15,9 +15,9 @@ from gaugeworks.functions.exact_sum import (
 from gaugeworks.functions.messages import EPOCH, required
 from gaugeworks.functions.rounding import round_half_even_2
 from gaugeworks.functions.times import window_label
-from gaugeworks.operators.cells import GROUP, reading_cells
+from gaugeworks.operators.cells import GROUP
 from gaugeworks.operators.lookup import lookup_join, lookup_names, measure
-from gaugeworks.operators.median import fold_cells
+from gaugeworks.operators.median import fold_readings
 from gaugeworks.schema import RESULT_COLUMNS
 from gaugeworks.settings import DEFAULTS, Settings
 from gaugeworks.sources.sinks import write_results
@@ -26,9 +26,12 @@ from gaugeworks.storage import remove, scratch_path
 
 def publishable(groups: DataFrame, settings: Settings) -> DataFrame:
     """Folded groups with names, as summary rows: the group's key and the published record."""
+    # Never null, and marked so: else a filter on it would be pushed down to the scan, where it would decode
+    # every reading once more.
+    start = F.coalesce("window_start", F.lit(EPOCH))
     return groups.select(
         *GROUP,
-        F.window("window_start", settings.window)["end"].alias("window_end"),
+        F.window(start, settings.window)["end"].alias("window_end"),
         "n_events",
         window_label(F.col("window_start")).alias("window_time"),
         "type_name",
@@ -43,19 +46,19 @@ def batch_summary(
     settings: Settings = DEFAULTS,
     work: str | None = None,
 ) -> DataFrame:
-    """Summary of unnamed readings. Intermediate tables go below ``work``, see ``fold_cells``.
+    """Summary of unnamed readings. Intermediate tables, if any, go below ``work``: see ``fold_readings``.
 
     The name depends on ``type_id`` alone and the dimension does not change during a batch, so
     it is looked up once per group rather than once per reading.
     """
-    groups = fold_cells(reading_cells(readings, settings.window), settings, work)
+    groups = fold_readings(readings, settings, work)
     return publishable(lookup_join(groups, dimension, settings), settings)
 
 
 def named_summary(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Summary of readings that already carry ``type_name``."""
-    cells = reading_cells(readings, settings.window, seen_at=F.current_timestamp())
-    return publishable(fold_cells(cells, settings), settings)
+    """Summary of readings that already carry ``type_name``; that of a group's latest reading counts."""
+    groups = fold_readings(readings, settings, seen_at=F.col("event_time"))
+    return publishable(groups, settings)
 
 
 def public_result(summary: DataFrame) -> DataFrame:
@@ -100,16 +103,18 @@ def mean_temperatures(readings: DataFrame, settings: Settings = DEFAULTS) -> Dat
 
 
 def latest_names(named: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """``window_start``, ``type_id``, ``type_name`` as last seen, of readings with names."""
+    """``window_start``, ``type_id``, ``type_name`` of the latest reading, of readings with names. Of
+    several names at one time the greatest is taken."""
     event_time = required(F.col("event_time"), never=EPOCH)
     seen = named.withColumn("event_time", event_time).select(
         F.window("event_time", settings.window)["start"].alias("window_start"),
         required(F.col("type_id"), never=0).alias("type_id"),
         "type_name",
-        F.current_timestamp().alias("seen_at"),
+        F.col("event_time").alias("seen_at"),
     )
     by_name = seen.groupBy(*GROUP, "type_name").agg(F.max("seen_at").alias("seen_at"))
-    return by_name.groupBy(*GROUP).agg(F.max_by("type_name", "seen_at").alias("type_name"))
+    latest = F.max_by("type_name", F.struct("seen_at", "type_name"))
+    return by_name.groupBy(*GROUP).agg(latest.alias("type_name"))
 
 
 ENRICH_SQL = """

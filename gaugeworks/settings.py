@@ -21,9 +21,13 @@ class Settings:
     # many partitions, and in batch adaptive execution splits those further if they are skewed.
     salts: int = 64
 
-    # Distinct humidity values one (window, type) may bring into a single task. Groups above
-    # it take the range-partitioned route in operators/median.py, in slices of about this size.
+    # Readings, or distinct humidity values, that one (window, type) may bring into a single task.
+    # Groups above it take the routes for large ones in operators/median.py; its slices have about this size.
     group_cells_per_task: int = 250_000
+    # Size of a large group's quantile sketch, and how far from the middle its bounds are taken. The
+    # sketch's rank error is about 2 / size; bounds that miss the middle are widened.
+    sketch_size: int = 1024
+    sketch_margin: float = 0.01
     # Slices made at a time; a slice that is too large by then is sliced again.
     max_slices: int = 10_000
 

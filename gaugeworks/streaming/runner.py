@@ -95,8 +95,10 @@ def start(
         work = scratch_path(spark, "closed")
         try:
             cells_closed = staged(closed, f"{work}/cells", spark)
-            if not cells_closed.isEmpty():
-                write(publishable(fold_staged(cells_closed, settings, work), settings), batch_id)
+            total = cells_closed.count()  # from the files' footers
+            if total:
+                groups = fold_staged(cells_closed, settings, work, total)
+                write(publishable(groups, settings), batch_id)
         finally:
             remove(spark, work)
 
