@@ -64,6 +64,9 @@ def _summary(unit: str) -> str:
 CLOSED = """window_end <= (SELECT date_trunc('millisecond', max(event_time)) FROM readings)
                    - INTERVAL 5 SECOND"""
 
+# The function over a window's rows runs when the watermark reaches the last millisecond.
+CLOSED_AT_LAST = f"window_end - INTERVAL 1 MILLISECOND {CLOSED.removeprefix('window_end ')}"
+
 LATE_DROP = f"""
 WITH {READINGS},
 arriving AS (
@@ -152,6 +155,7 @@ ORACLE: dict[str, str] = {
     "result_readback": _summary("hour")
     + "SELECT window_time, type_name, avg_temperature, median_humidity FROM summary",
     "stream_window_agg": _summary("minute") + f"SELECT * FROM summary WHERE {CLOSED}",
+    "stream_window_function": _summary("minute") + f"SELECT * FROM summary WHERE {CLOSED_AT_LAST}",
     "stream_late_drop": LATE_DROP,
     "stream_lookup_refresh": LOOKUP_REFRESH,
 }

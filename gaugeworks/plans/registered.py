@@ -8,6 +8,7 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gaugeworks.functions import (
     decode,
@@ -33,7 +34,7 @@ from gaugeworks.schema import DEVICE_TYPES
 from gaugeworks.settings import DEFAULTS, Settings
 from gaugeworks.sources.inputs import messages_stream, results, sensor_table
 from gaugeworks.storage import remove, scratch_path, set_times
-from gaugeworks.streaming import run_available, streaming_cells
+from gaugeworks.streaming import run_available, start_rows, streaming_cells, window_rows, windows
 
 HOUR = replace(DEFAULTS, window="1 hour")
 DAY = replace(DEFAULTS, window="1 day")
@@ -232,33 +233,41 @@ def _published(spark: SparkSession, path: str) -> DataFrame:
 ARRIVALS = 6
 
 
-def stream_window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events in ``ARRIVALS`` files in order of time, but up to four seconds out of order at their
-    ends, one file per micro-batch of one query."""
+def _arriving(spark: SparkSession, sf_dir: str, work: str) -> DataFrame | None:
+    """A stream of the events in ``ARRIVALS`` files in order of time, but up to four seconds out of order
+    at their ends, one file per micro-batch; None without events."""
     readings = readings_table(spark, sf_dir)
     span = readings.agg(
         F.min(F.unix_seconds("event_time")).alias("low"), F.max(F.unix_seconds("event_time")).alias("high")
     ).first()
+    if span["low"] is None:
+        return None
+    # As many seconds late as the device's number says.
+    late = F.pmod(F.xxhash64("device_id"), F.lit(5))
+    part = (F.unix_seconds("event_time") + late - F.lit(span["low"])) * F.lit(ARRIVALS)
+    number = F.call_function("div", part, F.lit(span["high"] - span["low"] + 5)).cast("int")
+    arriving = readings.select(encode_reading().alias("value"), number.alias("arrival"))
+    # One task and file per arrival: the source takes whole files.
+    arriving.repartition(F.col("arrival")).write.partitionBy("arrival").text(f"{work}/in")
+    shown = spark.read.text(f"{work}/in").select("arrival").distinct().collect()
+    set_times(spark, [f"{work}/in/arrival={row[0]}" for row in sorted(shown)])
+    stream = messages_stream(
+        spark,
+        "text",
+        path=f"{work}/in/arrival=*",
+        recursiveFileLookup="true",
+        maxFilesPerTrigger="1",
+    )
+    return decode(stream)
+
+
+def stream_window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of the arriving events, in as many micro-batches of one query."""
     work = scratch_path(spark, "stream")
-    if span["low"] is not None:
-        # As many seconds late as the device's number says.
-        late = F.pmod(F.xxhash64("device_id"), F.lit(5))
-        part = (F.unix_seconds("event_time") + late - F.lit(span["low"])) * F.lit(ARRIVALS)
-        number = F.call_function("div", part, F.lit(span["high"] - span["low"] + 5)).cast("int")
-        arriving = readings.select(encode_reading().alias("value"), number.alias("arrival"))
-        # One task and file per arrival: the source takes whole files.
-        arriving.repartition(F.col("arrival")).write.partitionBy("arrival").text(f"{work}/in")
-        shown = spark.read.text(f"{work}/in").select("arrival").distinct().collect()
-        set_times(spark, [f"{work}/in/arrival={row[0]}" for row in sorted(shown)])
-        stream = messages_stream(
-            spark,
-            "text",
-            path=f"{work}/in/arrival=*",
-            recursiveFileLookup="true",
-            maxFilesPerTrigger="1",
-        )
+    stream = _arriving(spark, sf_dir, work)
+    if stream is not None:
         run_available(
-            streaming_cells(decode(stream), regions(spark, sf_dir)),
+            streaming_cells(stream, regions(spark, sf_dir)),
             f"{work}/checkpoint",
             "parquet",
             path=f"{work}/out",
@@ -266,6 +275,22 @@ def stream_window_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finished(spark, work)
 
 
+def stream_window_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same summary by a function over all rows of each window, closed at its last millisecond."""
+    work, schema = scratch_path(spark, "windows"), StructType.fromDDL(windows.SUMMARY)
+    stream = _arriving(spark, sf_dir, work)
+    if stream is not None:
+        named = lookup_join(stream, regions(spark, sf_dir))
+        rows = window_rows(named, windows.summary, schema)
+        query = start_rows(rows, f"{work}/out", f"{work}/checkpoint", availableNow=True)
+        query.awaitTermination()
+        for folder in ("in", "checkpoint"):
+            remove(spark, f"{work}/{folder}")
+    published = spark.read.schema(schema).parquet(f"{work}/out") if stream is not None else spark.createDataFrame([], schema)
+    end = F.col("window_start") + F.expr("INTERVAL 1 MINUTE")
+    return _zoneless(published.withColumn("window_end", end))
+
+
 def _finished(spark: SparkSession, work: str) -> DataFrame:
     """What a finished stream published; its input and checkpoint go."""
     for folder in ("in", "checkpoint"):
@@ -346,6 +371,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_sink_encode": json_sink_encode,
     "result_readback": result_readback,
     "stream_window_agg": stream_window_agg,
+    "stream_window_function": stream_window_function,
     "stream_late_drop": stream_late_drop,
     "stream_lookup_refresh": stream_lookup_refresh,
 }

@@ -1,0 +1,23 @@
+"""Giving this package to Python workers, for the few plans that have any."""
+
+from __future__ import annotations
+
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import SparkSession
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Once per Spark application; a cluster need not have the package installed, nor a local session
+    be started in a certain folder."""
+    context = spark.sparkContext
+    if getattr(context, "_gaugeworks_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(context._temp_dir) / f"{package.name}.zip"  # Spark serves it to executors
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._gaugeworks_shipped = True

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +78,11 @@ def _session_conf(spark: SparkSession, values: dict[str, str]) -> Iterator[None]
                 spark.conf.set(key, value)
 
 
+def query_session(spark: SparkSession, settings: Settings) -> AbstractContextManager[None]:
+    """The session's settings as a query of this package needs them when it starts."""
+    return _session_conf(spark, _query_conf(settings))
+
+
 def start(
     cells: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -103,7 +108,7 @@ def start(
             remove(spark, work)
 
     writer = cells.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-    with _session_conf(spark, _query_conf(settings)):
+    with query_session(spark, settings):
         return writer.foreachBatch(fold).trigger(**trigger).start()
 
 

@@ -1,0 +1,121 @@
+"""Functions over all rows of a window, their order, and when a window closes."""
+
+from __future__ import annotations
+
+import random
+import sys
+
+import pytest
+from pyspark import cloudpickle
+from pyspark.sql.types import StructType
+
+from gaugeworks import Settings
+from gaugeworks.functions import decode, encode_reading
+from gaugeworks.operators.lookup import lookup_join
+from gaugeworks.sources import messages_stream
+from gaugeworks.streaming import start_rows, window_rows
+from gaugeworks.streaming.windows import SUMMARY, summary
+from helpers import JOB_FAILED, collected, dimension, expected, readings
+from test_batch import NAMES, random_rows
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers do not see tests
+
+RAW = "type_id int, seconds double, names string, values string"
+
+
+def everything(key, start, rows):
+    rows = list(rows)
+    for row in rows[:1]:
+        yield key, start.timestamp() % 3600, ",".join(r.device_id for r in rows), ",".join(str(r.humidity) for r in rows)
+
+
+def nothing_or_two(key, start, rows):
+    n = sum(1 for _ in rows)
+    if key != 2:
+        yield key, float(n), "a", ""
+        yield key, float(n), "b", ""
+
+
+class Stream:
+    def __init__(self, spark, root, function=everything, schema=RAW, settings=None):
+        self.spark, self.root, self.function, self.fed = spark, root, function, 0
+        self.schema, self.settings = StructType.fromDDL(schema), settings or Settings()
+
+    def feed(self, rows, frame=None):
+        frame = readings(self.spark, rows).coalesce(1) if frame is None else frame
+        frame.select(encode_reading().alias("value")).write.text(str(self.root / "in" / str(self.fed)))
+        self.fed += 1
+        messages = messages_stream(self.spark, "text", path=str(self.root / "in"), recursiveFileLookup="true")
+        named = lookup_join(decode(messages), dimension(self.spark, NAMES))
+        out = window_rows(named, self.function, self.schema, self.settings)
+        query = start_rows(out, str(self.root / "out"), str(self.root / "checkpoint"), availableNow=True)
+        query.awaitTermination()
+        return self
+
+    def found(self):
+        return self.spark.read.schema(self.schema).parquet(str(self.root / "out"))
+
+
+def test_a_row_at_the_last_millisecond_of_the_delay_closes(spark, tmp_path):
+    stream = Stream(spark, tmp_path).feed([(1, 1, 20, 50)]).feed([(1, 64.998, 0, 0)])
+    assert stream.found().collect() == []
+    stream.feed([(1, 64.999, 0, 1)])
+    (row,) = stream.found().collect()
+    assert (row.type_id, row["values"]) == (1, "50.0")
+
+
+def test_late_rows_are_dropped_and_others_not(spark, tmp_path):
+    stream = Stream(spark, tmp_path).feed([(1, 1, 20, 50)]).feed([(1, 110, 0, 1)])
+    # 14:23 is closed; 14:24 is open, though the watermark is at 14:24:45.
+    stream.feed([(1, 59, 0, 2)]).feed([(1, 61, 0, 3)]).feed([(2, 200, 0, 4)])
+    assert sorted(r["values"] for r in stream.found().collect()) == ["1.0,3.0", "50.0"]
+
+
+def test_rows_come_in_order_of_arrival(spark, tmp_path):
+    rng = random.Random(4)
+    stream, want = Stream(spark, tmp_path), []
+    for _ in range(3):
+        rows = [(1, rng.random() * 59, 0, round(rng.random() * 100, 3)) for _ in range(200)]
+        want += [str(r[3]) for r in rows]
+        stream.feed(rows)
+    stream.feed([(3, 600, 0, 0)])
+    (row,) = stream.found().collect()
+    assert row["values"].split(",") == want
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_the_last_row_of_a_batch_gives_its_name(spark, tmp_path, parts):
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        rows = readings(spark, [(1, s, 1, s) for s in (5, 4, 3, 30, 2)]).coalesce(1)
+        stream = Stream(spark, tmp_path).feed(None, rows.selectExpr("type_id", "event_time", "temperature", "humidity", "concat('d', int(humidity)) AS device_id"))
+        (row,) = stream.feed([(3, 600, 0, 0)]).found().collect()
+        assert row.names == "d5,d4,d3,d30,d2"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+
+
+def test_any_number_of_rows_and_settings_are_put_back(spark, tmp_path):
+    stream = Stream(spark, tmp_path, nothing_or_two).feed([(1, 1, 0, 0), (1, 2, 0, 0), (2, 3, 0, 0)])
+    stream.feed([(9, 600, 0, 0)])
+    assert sorted((r.type_id, r.seconds, r.names) for r in stream.found().collect()) == [(1, 2.0, "a"), (1, 2.0, "b")]
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+
+
+def test_the_summary_as_a_function_equals_brute_force(spark, tmp_path):
+    rows = sorted(random_rows(500, seed=31), key=lambda r: r[1])
+    stream = Stream(spark, tmp_path, summary, SUMMARY)
+    for part in range(0, 500, 250):
+        stream.feed(rows[part : part + 250])
+    end = max(r[1] for r in rows) - 5 + 0.001
+    closed = [r for r in rows if (r[1] // 60 + 1) * 60 <= end]
+    assert closed and collected(stream.found()) == expected(closed, NAMES)
+
+
+def test_a_failing_function_stops_the_query(spark, tmp_path):
+    def broken(key, start, rows):
+        raise ValueError("broken")
+
+    stream = Stream(spark, tmp_path, broken).feed([(1, 1, 0, 0)])
+    with pytest.raises(JOB_FAILED):
+        stream.feed([(1, 600, 0, 0)])
