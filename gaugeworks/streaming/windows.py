@@ -11,22 +11,25 @@ minute 14:23 if the watermark stays five seconds behind. Rows that come later ar
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime, timedelta, timezone
 from statistics import median
 from typing import Any
 
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from gaugeworks.settings import DEFAULTS, Settings
-from gaugeworks.shipping import ship_package
 from gaugeworks.streaming.runner import query_session
 
+# Workers need not have this package: what they run of this module is sent along.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ARRIVAL = "__arrival"
 
 #: Gets the key, the window's start in UTC, and its rows; yields the values of rows.
@@ -91,7 +94,6 @@ def window_rows(
     The rows of a window come in the order of the micro-batches, and within one in that of the
     source: by its partitions, then by place. So the last one is the last that arrived.
     """
-    ship_package(readings.sparkSession)
     others = [name for name in readings.columns if name != key]
     marked = _numbered(readings).withWatermark("event_time", settings.watermark)
     # The watermark is on the window from here on: a row is too late when its window is closed, not
