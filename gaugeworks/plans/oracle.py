@@ -158,4 +158,8 @@ ORACLE: dict[str, str] = {
     "stream_window_function": _summary("minute") + f"SELECT * FROM summary WHERE {CLOSED_AT_LAST}",
     "stream_late_drop": LATE_DROP,
     "stream_lookup_refresh": LOOKUP_REFRESH,
+    "stream_lookup_live": LOOKUP_REFRESH,
+    "stream_lookup_cached": _summary("minute") + f"SELECT * FROM summary WHERE {CLOSED}",
+    "stream_readback": _summary("hour")
+    + "SELECT window_time, type_name, avg_temperature, median_humidity FROM summary",
 }

@@ -21,8 +21,10 @@ from gaugeworks.functions import (
     round_half_even_2,
     window_label,
 )
+from gaugeworks.operators.cells import reading_cells
 from gaugeworks.operators.dimension import ensure, seed
 from gaugeworks.operators.lookup import lookup_join
+from gaugeworks.operators.lookup_cache import cached_lookup
 from gaugeworks.plans.batch import (
     batch_summary,
     latest_names,
@@ -32,9 +34,19 @@ from gaugeworks.plans.batch import (
 )
 from gaugeworks.schema import DEVICE_TYPES
 from gaugeworks.settings import DEFAULTS, Settings
-from gaugeworks.sources.inputs import messages_stream, results, sensor_table
+from gaugeworks.sources import (
+    follow_results,
+    messages_stream,
+    newest_version,
+    publish_version,
+    results,
+    results_stream,
+    sensor_table,
+    version_names,
+    write_results,
+)
 from gaugeworks.storage import remove, scratch_path, set_times
-from gaugeworks.streaming import run_available, start_rows, streaming_cells, window_rows, windows
+from gaugeworks.streaming import run_available, start, start_rows, streaming_cells, window_rows, windows
 
 HOUR = replace(DEFAULTS, window="1 hour")
 DAY = replace(DEFAULTS, window="1 day")
@@ -328,6 +340,18 @@ def _replay(
     return _finished(spark, work)
 
 
+def _in_order(spark: SparkSession, readings: DataFrame, work: str) -> DataFrame:
+    """A stream of ``readings`` as JSON messages, one micro-batch for each value of ``arrival``."""
+    messages = readings.select(encode_reading().alias("value"), "arrival")
+    messages.repartition(F.col("arrival")).write.partitionBy("arrival").text(f"{work}/in")
+    shown = spark.read.text(f"{work}/in").select("arrival").distinct().collect()
+    set_times(spark, [f"{work}/in/arrival={row[0]}" for row in sorted(shown)])
+    stream = messages_stream(
+        spark, "text", path=f"{work}/in/arrival=*", recursiveFileLookup="true", maxFilesPerTrigger="1"
+    )
+    return decode(stream)
+
+
 def _readings_arriving(spark: SparkSession, sf_dir: str, arrival: Column) -> DataFrame:
     return sensor_table(events_table(spark, sf_dir).withColumn("arrival", arrival), "arrival")
 
@@ -349,6 +373,58 @@ def stream_lookup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replay(spark, readings, 2, lambda number: versions[number], DAY)
 
 
+def stream_lookup_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same change of names while one query runs: after its first micro-batch they are published
+    as a new version, which the second one joins."""
+    change = F.lit("2024-01-16 12:00:00").cast("timestamp_ntz")
+    readings = _readings_arriving(spark, sf_dir, F.when(F.col("ts") < change, 0).otherwise(1))
+    work = scratch_path(spark, "live")
+    if not readings.isEmpty():
+        publish_version(regions(spark, sf_dir), f"{work}/names")
+
+        def write(summary: DataFrame, batch_id: int) -> None:
+            write_results(summary, "parquet", batch_id, path=f"{work}/out")
+
+        def rename(batch_id: int) -> None:
+            if batch_id == 0:
+                publish_version(nations(spark, sf_dir), f"{work}/names")
+
+        cells = streaming_cells(_in_order(spark, readings, work), newest_version(spark, f"{work}/names"), DAY)
+        start(cells, write, f"{work}/checkpoint", DAY, rename, availableNow=True).awaitTermination()
+    return _finished(spark, work)
+
+
+def stream_lookup_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of the arriving events with names asked for one by one, behind the workers' caches."""
+    work = scratch_path(spark, "cached")
+    stream = _arriving(spark, sf_dir, work)
+    if stream is not None:
+        publish_version(regions(spark, sf_dir), f"{work}/names")
+        named = cached_lookup(stream, version_names(f"{work}/names"))
+        named = named.withWatermark("event_time", DEFAULTS.watermark)
+        cells = reading_cells(named, DEFAULTS.window, seen_at=F.current_timestamp())
+        run_available(cells, f"{work}/checkpoint", "parquet", path=f"{work}/out")
+    return _finished(spark, work)
+
+
+def stream_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published records followed as a stream, in two runs on one checkpoint: one before the second
+    half is published, and one after."""
+    work, readings = scratch_path(spark, "followed"), readings_table(spark, sf_dir)
+    odd = F.hour("event_time") % 2 == 1
+    for run, half in enumerate((readings.where(odd), readings.where(~odd))):
+        write_batch_summary(half.repartition(3), regions(spark, sf_dir), "text", HOUR, path=f"{work}/published/{run}")
+        records = results_stream(
+            spark, "text", path=f"{work}/published", recursiveFileLookup="true", maxFilesPerTrigger="2"
+        )
+
+        def write(rows: DataFrame, batch_id: int) -> None:
+            rows.write.mode("overwrite").parquet(f"{work}/out/batch_id={batch_id}")
+
+        follow_results(records, write, f"{work}/checkpoint", availableNow=True).awaitTermination()
+    return _published(spark, f"{work}/out")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_event_decode": json_event_decode,
     "iso_timestamp_parse": iso_timestamp_parse,
@@ -374,4 +450,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_window_function": stream_window_function,
     "stream_late_drop": stream_late_drop,
     "stream_lookup_refresh": stream_lookup_refresh,
+    "stream_lookup_live": stream_lookup_live,
+    "stream_lookup_cached": stream_lookup_cached,
+    "stream_readback": stream_readback,
 }

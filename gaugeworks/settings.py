@@ -11,8 +11,11 @@ class Settings:
     window: str = "1 minute"
     watermark: str = "5 seconds"
     fallback_name: str = "Unknown"
-    # Age at which a file-based dimension is read again by a long-running stream.
+    # Age at which a file-based dimension is read again by a long-running stream, and a cached name is
+    # looked up again.
     dimension_ttl_seconds: int = 600
+    # Ids that a worker's lookup cache keeps; each for the time above.
+    lookup_cache_rows: int = 100
 
     # A lookup side is broadcast only when measured to be within both bounds.
     broadcast_max_rows: int = 1_000_000

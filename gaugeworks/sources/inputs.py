@@ -6,8 +6,11 @@ classpath; addresses and credentials are passed as options and have no defaults
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from gaugeworks.functions.messages import EPOCH, is_single, parse_whole, required
 from gaugeworks.schema import DEVICE_TYPES, RESULT
@@ -100,3 +103,19 @@ def results(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
     """Everything published so far, from the earliest record on."""
     log = {"subscribe": OUTPUT_TOPIC, "startingOffsets": "earliest"}
     return decode_results(_values(spark.read, fmt, log, options))
+
+
+def results_stream(spark: SparkSession, fmt: str, **options: str) -> DataFrame:
+    """The same records as an unbounded stream: all published so far, then those to come. What has been
+    read is kept by the checkpoint of the query that reads it."""
+    log = {"subscribe": OUTPUT_TOPIC, "startingOffsets": "earliest"}
+    return decode_results(_values(spark.readStream, fmt, log, options))
+
+
+def follow_results(
+    records: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, **trigger: object
+) -> StreamingQuery:
+    """Start passing the records of ``results_stream`` to ``write(records, batch_id)``. A restart on the
+    same checkpoint goes on behind the last batch that was written."""
+    writer = records.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()

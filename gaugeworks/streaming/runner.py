@@ -88,9 +88,11 @@ def start(
     write: Callable[[DataFrame, int], None],
     checkpoint: str,
     settings: Settings = DEFAULTS,
+    after: Callable[[int], None] | None = None,
     **trigger: object,
 ) -> StreamingQuery:
-    """Start the query; ``write(summary, batch_id)`` receives the summaries of closed windows."""
+    """Start the query; ``write(summary, batch_id)`` receives the summaries of closed windows, and
+    ``after(batch_id)`` is called when a micro-batch is done, with or without any."""
 
     spark = cells.sparkSession
 
@@ -106,6 +108,8 @@ def start(
                 write(publishable(groups, settings), batch_id)
         finally:
             remove(spark, work)
+        if after is not None:
+            after(batch_id)
 
     writer = cells.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     with query_session(spark, settings):
