@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.operators.joins import join_lookup
+from gaugeworks.operators.joins import frequent_keys, join_lookup
 from gaugeworks.settings import DEFAULTS, Settings
 
 
@@ -59,13 +59,24 @@ def lookup_names(readings: DataFrame, dimension: DataFrame) -> DataFrame:
     return dimension.select(F.col("id").alias("type_id"), F.col("type_name").alias("__name"))
 
 
+def frequent_ids(readings: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """The ids of bounded ``readings`` that need spreading in ``lookup_join``. For a stream they come from
+    what has been read before, such as yesterday's readings; an id that gets frequent later is joined
+    all the same, but in one task until the stream is started with a new table."""
+    return frequent_keys(readings, ["type_id"], settings.frequent_ids)
+
+
 def lookup_join(
     readings: DataFrame,
     dimension: DataFrame,
     settings: Settings = DEFAULTS,
+    frequent: DataFrame | None = None,
 ) -> DataFrame:
     """``readings`` with ``type_name`` added; ids the dimension lacks get the fallback name.
 
+    If the dimension is too large to broadcast, its rows are copied so that frequent ids can be spread:
+    all of them, or with ``frequent`` (see ``frequent_ids``) only those ids.
+
     Works on anything with a ``type_id`` column, streaming or not. In a stream the dimension is
     scanned by every micro-batch, so a database source is read afresh each time.
     """
@@ -77,6 +88,7 @@ def lookup_join(
         "left",
         broadcast=size.fits(settings),
         salts=settings.salts,
+        frequent=frequent,
     )
     return joined.select(
         *readings.columns,

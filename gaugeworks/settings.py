@@ -23,6 +23,8 @@ class Settings:
     # Copies of each lookup row when it is too large to broadcast; a hot key spreads over this
     # many partitions, and in batch adaptive execution splits those further if they are skewed.
     salts: int = 64
+    # An id is frequent if more than one in so many readings have it.
+    frequent_ids: int = 10_000
 
     # Readings, or distinct humidity values, that one (window, type) may bring into a single task.
     # Groups above it take the routes for large ones in operators/median.py; its slices have about this size.
