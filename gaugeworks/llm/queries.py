@@ -68,6 +68,9 @@ def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
         gone.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.octet_length("kept").cast("long").alias("n_kept"),
+        F.char_length(F.col("kept").cast("string")).cast("long").alias("n_chars"),
+        (gone > 0).alias("repeats"),
     )
 
 

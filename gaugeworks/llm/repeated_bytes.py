@@ -14,7 +14,7 @@ text through several shuffles. So suffixes are first brought together by content
 3. For the rest, the few runs at the edges of shared passages and around edits, each distinct run's
    bytes are fetched once. Those of a representative come to one task, are suffix-sorted by the
    difference-cover algorithm, and adjacent suffixes are compared over ``length`` bytes.
-   Representatives with very many distinct runs are dealt out by string instead.
+   Representatives whose distinct runs have more bytes than a task may sort are dealt out by string.
 
 In step 3 whole strings are compared. Copies, the inside of passages (step 2) and strings that are dealt
 out are told apart by hashes alone, of 64 + 64 bits.
@@ -36,8 +36,10 @@ LENGTH = 400
 #: Bytes hashed together, and bytes suffix-sorted together.
 SEGMENT_BYTES = 2 << 20
 SORT_BYTES = 2 << 20
-#: Distinct runs of one representative that one task sorts.
-RUNS_PER_TASK = 2000
+#: Bytes of one representative's distinct runs that one task sorts. Sorting takes some 100 bytes a byte.
+GROUP_BYTES = 1 << 20
+#: Strings that are hashed together.
+STRINGS = 1 << 16
 ODD = 0x9E3779B97F4A7C15
 ROW, RUN = ["_k1", "_k2"], ["key", "ctx"]
 
@@ -222,30 +224,50 @@ def _sorted_marks(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def _dealt_marks(contexts: DataFrame, length: int, work: Work) -> DataFrame:
-    """The same for representatives with very many distinct runs: their strings are dealt out by 128
-    bits of hash and counted, with partial counts before the shuffle."""
+    """The same for representatives with many bytes: their strings are dealt out by 128 bits of hash and
+    counted. A string that occurs twice within its run is repeated anyway, so each run brings just one
+    row for each of its different strings, however long and regular it is."""
     import numpy as np
 
-    names = ["key", "ctx", "begin", "h1", "h2", "copied"]
+    names = ["key", "ctx", "begin", "end", "h1", "h2", "times"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh3_128_intdigest
+        from xxhash import xxh3_128_digest
 
         for batch in batches:
             for key, ctx, copied, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 view, n = memoryview(text), len(text) - length + 1
-                h = [xxh3_128_intdigest(view[i : i + length]) for i in range(n)]
-                halves = [np.array([x >> s & (1 << 64) - 1 for x in h], np.uint64).view(np.int64) for s in (64, 0)]
-                columns = [np.full(n, key), np.full(n, ctx), np.arange(n), *halves, np.full(n, int(copied))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+                h = np.empty((n, 2), np.int64)
+                for at in range(0, n, STRINGS):
+                    some = b"".join(xxh3_128_digest(view[i : i + length]) for i in range(at, min(at + STRINGS, n)))
+                    h[at : at + STRINGS] = np.frombuffer(some, np.int64).reshape(-1, 2)
+                order = np.lexsort((h[:, 1], h[:, 0]))
+                h = h[order]
+                first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]).any(axis=1)))
+                times = np.diff(np.append(first, n))
+                twice = np.zeros(n, bool)
+                twice[order] = np.repeat((times > 1) | copied, times)
+                b, e = _spans(twice)
+                # Stretches that are repeated anyway have no hash.
+                yield _rows([np.full(len(b), key), np.full(len(b), ctx), b, e, None, None, np.full(len(b), 2)])
+                for at in range(0, len(first), STRINGS):
+                    some = slice(at, at + STRINGS)
+                    begin, size = order[first[some]], len(first[some])
+                    yield _rows(
+                        [np.full(size, key), np.full(size, ctx), begin, begin + 1, *h[first[some]].T, times[some] + int(copied)]
+                    )
+
+    def _rows(columns) -> pa.RecordBatch:
+        size = len(columns[0])
+        given = [pa.nulls(size, pa.int64()) if c is None else pa.array(np.ascontiguousarray(c, np.int64)) for c in columns]
+        return pa.RecordBatch.from_arrays(given, names)
 
     rows = contexts.dropDuplicates(RUN).select(*RUN, "copied", "bytes")
     strings = work.stage(rows.mapInArrow(run, ", ".join(f"{c} long" for c in names)), "strings")
-    often = strings.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times"), F.max("copied").alias("any"))
-    often = work.stage(often.where("times > 1 or any > 0").select("h1", "h2"), "often")
-    return strings.join(often.hint("merge"), ["h1", "h2"]).select(
-        *RUN, "begin", (F.col("begin") + 1).alias("end")
-    )
+    often = strings.where("h1 is not null").groupBy("h1", "h2").agg(F.sum("times").alias("times"))
+    often = work.stage(often.where("times > 1").select("h1", "h2"), "often")
+    met = strings.join(often.hint("merge"), ["h1", "h2"])
+    return met.unionByName(strings.where("h1 is null"), allowMissingColumns=True).select(*RUN, "begin", "end")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, text: str = "text", doc: str = "doc_id") -> DataFrame:
@@ -276,7 +298,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text: str = "text", do
         .agg((F.count(F.lit(1)) > 1).alias("copied"), F.min(F.struct(*ROW, "low", "n")).alias("at"))
     )
     mixed = work.stage(mixed, "mixed")
-    sizes = mixed.groupBy("key").agg((F.count(F.lit(1)) > RUNS_PER_TASK).alias("many"))
+    size = F.sum(F.col("at.n") + (length - 1))
+    sizes = mixed.groupBy("key").agg((size > GROUP_BYTES).alias("many"))
     sizes = work.stage(sizes, "sizes")
     wanted = (
         mixed.join(sizes.hint("merge"), "key")
@@ -295,7 +318,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, text: str = "text", do
     spans = whole.unionByName(part).groupBy(*ROW).agg(
         F.collect_list(F.struct("begin", (F.col("end") + (length - 1)).alias("end"))).alias("spans")
     )
-    return work.stage(spans, "spans")
+    spans = work.stage(spans, "spans")
+    work.drop(*[name for name in work.paths if name != "spans"])
+    return spans
 
 
 def _fetched(docs: DataFrame, wanted: DataFrame, text: str, doc: str, length: int) -> DataFrame:

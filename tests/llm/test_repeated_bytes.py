@@ -69,10 +69,11 @@ def passages(seed, n=60):
 
 
 @pytest.mark.parametrize("length", [20, 64, 150])
-@pytest.mark.parametrize("many", [1, 2000])
-def test_equals_brute_force(spark, monkeypatch, length, many):
+@pytest.mark.parametrize("most", [1, 2000, 1 << 20])
+def test_equals_brute_force(spark, monkeypatch, length, most):
     """Also with representatives that are dealt out by string."""
-    monkeypatch.setattr(repeated_bytes, "RUNS_PER_TASK", many)
+    monkeypatch.setattr(repeated_bytes, "GROUP_BYTES", most)
+    monkeypatch.setattr(repeated_bytes, "STRINGS", 64)
     texts = passages(length)
     assert got(docs(spark, texts), length) == brute(texts, length)
 
@@ -88,6 +89,20 @@ def test_self_repetition_alone(spark):
     assert got(docs(spark, texts), 16) == brute(texts, 16)
 
 
+def test_regular_texts_are_dealt_out(spark):
+    """Long texts of one byte or two have one representative, far more of them than a task sorts."""
+    rows = [(i, unit * (300_000 // len(unit) + i)) for i, unit in enumerate(["a"] * 6 + ["ab"] * 4)]
+    rows += [(90, "c" * 20), (91, "cd" * 11), (92, "a" * 399), (93, "b" + "a" * 400)]
+    found = {r.doc_id: (bytes(r.kept), [(s.begin, s.end) for s in r.removed]) for r in remove_repeats(docs(spark, rows)).collect()}
+    for i, text in rows:
+        if i < 90:
+            assert found[i] == (b"", [(0, len(text))])
+        elif i == 93:
+            assert found[i] == (b"b", [(1, 401)])
+        else:
+            assert found[i] == (text.encode(), [])
+
+
 def test_nulls_repeats_and_clashing_names(spark):
     text = "a passage of more than twenty bytes"
     rows = [(1, None), (2, ""), (3, text), (3, text), (None, "x " + text), (None, None), (4, "short")]
@@ -118,4 +133,7 @@ def test_query_on_the_test_table(spark):
     }
     rows = op4_repeated_bytes(spark, str(SF)).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == want
+    assert all(r.n_kept == r.n_bytes - r.n_removed and r.repeats == (r.n_removed > 0) for r in rows)
+    whole = {r.doc_id: len(r.text or "") for r in frame.collect()}
+    assert all(r.n_chars == whole[r.doc_id] for r in rows if not r.repeats)
     assert any(n for _, n, _, _ in want.values())
