@@ -105,25 +105,35 @@ def _field(seeds: DataFrame):
     return whole
 
 
-def tiles(pairs: list[tuple[int, int]], min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
-    """Greedy string tiling: ``pairs`` are first tokens, in the document and in the item, of equal
-    runs of ``min_match`` tokens. Returns the tiles (document token, item token, length), longest
-    first; of equal ones, that first in the document, then that first in the item."""
-    heap, last = [], None
+def diagonal_runs(pairs: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """``pairs`` of first tokens, in the document and in the item, of equal runs of tokens, as stretches
+    of pairs that follow each other: the first pair and their number."""
+    runs_: list[list[int]] = []
     for diagonal, d in sorted((d - i, d) for d, i in set(pairs)):
-        if last and last[0] == diagonal and last[1] + last[2] == d:
-            last[2] += 1
+        if runs_ and runs_[-1][0] - runs_[-1][1] == diagonal and runs_[-1][0] + runs_[-1][2] == d:
+            runs_[-1][2] += 1
         else:
-            if last:
-                heap.append((-(last[2] + min_match - 1), last[1], last[1] - last[0]))
-            last = [diagonal, d, 1]
-    if last:
-        heap.append((-(last[2] + min_match - 1), last[1], last[1] - last[0]))
+            runs_.append([d, d - diagonal, 1])
+    return [(d, i, n) for d, i, n in runs_]
+
+
+def tiles(pairs: list[tuple[int, int]], min_match: int = MIN_MATCH) -> list[tuple[int, int, int]]:
+    """Greedy string tiling of ``pairs``, as in ``diagonal_runs``, of runs of ``min_match`` tokens."""
+    return tile_runs(diagonal_runs(pairs), min_match)
+
+
+def tile_runs(
+    stretches: list[tuple[int, int, int]], min_match: int = MIN_MATCH, item_tokens: int | None = None
+) -> list[tuple[int, int, int]]:
+    """Greedy string tiling from diagonal stretches of seeds. Returns the tiles (document token, item
+    token, length), longest first; of equal ones, that first in the document, then that first in the
+    item. An item of ``item_tokens`` tokens that has no room for one more ends the search."""
+    heap = [(-(n + min_match - 1), d, i) for d, i, n in stretches]
     heapify(heap)
     in_doc: set[int] = set()
     in_item: set[int] = set()
     found = []
-    while heap:
+    while heap and (item_tokens is None or item_tokens - len(in_item) >= min_match):
         length, d, i = heappop(heap)
         length = -length
         free = [d + k not in in_doc and i + k not in in_item for k in range(length)]
@@ -186,14 +196,32 @@ def contaminated(
     hits = work.stage(_hashed(prepared(docs, doc), min_match, field).drop("_size"), "hits")
     keys = ["_k1", "_k2", "_i1", "_i2"]
     matched = hits.join(seeds.hint("merge"), "_hash")
-    grouped = matched.groupBy(*keys).agg(
+    # On a diagonal seeds follow each other in the document and in the item. A diagonal has no more of
+    # them than the item has tokens, however often the document repeats a passage.
+    diagonals = matched.groupBy(*keys, (F.col("_pos") - F.col("_ipos")).alias("diagonal")).agg(
         F.first("_id").alias("doc_id"),
         F.first("_item").alias("item_id"),
         F.first("_isize").alias("item_tokens"),
-        F.collect_set(F.struct("_pos", "_ipos")).alias("pairs"),
+        F.array_sort(F.collect_set("_ipos")).alias("at"),
+    )
+    begins = F.filter("at", lambda x, k: (k == 0) | (F.get("at", k - 1) < x - 1))
+    ends = F.filter("at", lambda x, k: F.coalesce(F.get("at", k + 1) > x + 1, F.lit(True)))
+    stretches = F.transform(
+        F.arrays_zip(begins.alias("b"), ends.alias("e")),
+        lambda s: F.struct(
+            (F.col("diagonal") + s["b"]).alias("_pos"), s["b"].alias("_ipos"), (s["e"] - s["b"] + 1).alias("n")
+        ),
+    )
+    grouped = diagonals.select(*keys, "doc_id", "item_id", "item_tokens", F.size("at").alias("seeds"), stretches.alias("s"))
+    grouped = grouped.groupBy(*keys).agg(
+        F.first("doc_id").alias("doc_id"),
+        F.first("item_id").alias("item_id"),
+        F.first("item_tokens").alias("item_tokens"),
+        F.sum("seeds").alias("seeds"),
+        F.flatten(F.collect_list("s")).alias("stretches"),
     )
     # No more tokens can be tiled than seeds cover: most chance encounters end here.
-    able = F.size("pairs") + (min_match - 1) * F.size("pairs") >= F.col("item_tokens") * coverage
+    able = F.col("seeds") * min_match >= F.col("item_tokens") * coverage
     schema = (
         "_k1 long, _k2 long, doc_id long, item_id long, item_tokens long, tiled_tokens long, "
         "coverage double, tiles array<struct<doc_token:long,item_token:long,length:long>>"
@@ -204,7 +232,7 @@ def contaminated(
         for batch in batches:
             rows = []
             for row in batch.to_pylist():
-                found = tiles([(p["_pos"], p["_ipos"]) for p in row["pairs"]], min_match)
+                found = tile_runs([(p["_pos"], p["_ipos"], p["n"]) for p in row["stretches"]], min_match, row["item_tokens"])
                 marked = sum(length for _, _, length in found)
                 share = marked / row["item_tokens"]
                 if share >= coverage:
@@ -223,7 +251,7 @@ def contaminated(
     tile = pa.struct([("doc_token", pa.int64()), ("item_token", pa.int64()), ("length", pa.int64())])
     kinds = [pa.int64()] * 6 + [pa.float64(), pa.list_(tile)]
     arrow_schema = pa.schema(list(zip(names, kinds, strict=True)))
-    return grouped.where(able).select(*names[:5], "pairs").mapInArrow(run, schema)
+    return grouped.where(able).select(*names[:5], "stretches").mapInArrow(run, schema)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc: str = "doc_id", **options) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -116,3 +117,31 @@ def test_passage_repeated_very_often(spark):
     frame = docs(spark, [(1, " . ".join([passage] * 3000))])
     got = contaminated(frame, spark.createDataFrame([(1, passage)], ITEMS)).first()
     assert (got.tiled_tokens, got.item_tokens) == (6, 6)
+
+
+def test_long_regular_document_and_item(spark):
+    """Every other position matches every other one: millions of pairs, of which only stretches are kept."""
+    frame = docs(spark, [(1, "a b " * 20_000), (2, "b a " * 70), (3, "a c " * 100)])
+    bench = spark.createDataFrame([(1, "a b " * 60), (2, "x y z u v w")], ITEMS)
+    begin = time.monotonic()
+    got = {r.doc_id: r for r in contaminated(frame, bench).collect()}
+    assert time.monotonic() - begin < 60
+    assert {d: (r.tiled_tokens, r.coverage) for d, r in got.items()} == {1: (120, 1.0), 2: (120, 1.0)}
+    assert [(t.doc_token, t.item_token, t.length) for t in got[1].tiles] == [(0, 0, 120)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_pairs_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    texts = [words(rng, rng.randrange(5, 60), 3) for _ in range(12)]
+    items = [words(rng, rng.randrange(3, 25), 3) for _ in range(6)]
+    bench = spark.createDataFrame(list(enumerate(items)), ITEMS)
+    want = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            tiles_ = brute_tiles(text.split(), item.split(), 5)
+            marked = sum(n for _, _, n in tiles_)
+            if tiles_ and marked / len(item.split()) >= 0.6:
+                want[d, i] = (marked, [tuple(t) for t in tiles_])
+    got = {(r.doc_id, r.item_id): (r.tiled_tokens, [tuple(t) for t in r.tiles]) for r in contaminated(docs(spark, texts), bench).collect()}
+    assert got == want and want
