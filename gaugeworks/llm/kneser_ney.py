@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.common import Work, binary_bytes, row_key, slices, utf8, with_row_key
 
 ORDER = 5
+#: Rows of a table of one-byte or two-byte n-grams up to which it is broadcast: fewer than 66 000 a language,
+#: so only some dozens of languages have more.
+FEW = 1_000_000
 #: Bytes before and after every text.
 BEGIN, END = 0x02, 0x03
 SYMBOLS = 256
@@ -254,14 +257,16 @@ def model(counts: DataFrame, work: Work) -> tuple[list[DataFrame], list[DataFram
     return probabilities, weights
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+def _null_safe(
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", hint: str = "merge"
+) -> DataFrame:
     """Join on language and ``keys``; a null language equals itself."""
     renamed = right.toDF(*[f"_r_{c}" for c in right.columns])
     condition = F.col("lang").eqNullSafe(F.col("_r_lang"))
     for key in keys:
         condition &= F.col(key) == F.col(f"_r_{key}")
     kept = [F.col(f"_r_{c}").alias(c) for c in right.columns if c not in ("lang", *keys)]
-    return left.join(renamed.hint("merge"), condition, how).select(*left.columns, *kept)
+    return left.join(renamed.hint(hint), condition, how).select(*left.columns, *kept)
 
 
 def _costs(blocks: DataFrame, probabilities: list[DataFrame], weights: list[DataFrame], work: Work) -> DataFrame:
@@ -285,16 +290,21 @@ def _costs(blocks: DataFrame, probabilities: list[DataFrame], weights: list[Data
     for n in range(ORDER, 0, -1):
         p, g = probabilities[n - 1], weights[n - 1]
         rows = rows.withColumns({f"s{n}": _suffix(n), f"h{n}": F.shiftright(_suffix(n), 8)})
-        rows = _null_safe(rows, p.select("lang", F.col("w").alias(f"s{n}"), F.col("p").alias(f"p{n}")), [f"s{n}"], "left")
-        rows = _null_safe(rows, g.select("lang", F.col("h").alias(f"h{n}"), F.col("g").alias(f"g{n}")), [f"h{n}"], "left")
-        rows = work.stage(rows.drop(f"s{n}", f"h{n}"), f"wanted{n}")
-        work.drop("wanted" if n == ORDER else f"wanted{n + 1}", f"order{n}", f"contexts{n}")
+        # Short n-grams are few and each is in very many of the rows, which must not meet in a task.
+        hint = "broadcast" if n <= 2 and p.count() <= FEW else "merge"
+        p = p.select("lang", F.col("w").alias(f"s{n}"), F.col("p").alias(f"p{n}"))
+        g = g.select("lang", F.col("h").alias(f"h{n}"), F.col("g").alias(f"g{n}"))
+        rows = _null_safe(rows, p, [f"s{n}"], "left", hint)
+        rows = _null_safe(rows, g, [f"h{n}"], "left", hint).drop(f"s{n}", f"h{n}")
+        if n > 2:
+            rows = work.stage(rows, f"wanted{n}")
+            work.drop("wanted" if n == ORDER else f"wanted{n + 1}", f"order{n}", f"contexts{n}")
     total = F.lit(1.0 / SYMBOLS)
     for n in range(1, ORDER + 1):
         # Seen: its probability, which has the shorter ones in it. Not seen: what the context leaves.
         total = F.coalesce(F.col(f"p{n}"), F.coalesce(F.col(f"g{n}"), F.lit(1.0)) * total)
     costs = work.stage(rows.select("lang", "w", (-F.log(total)).alias("cost")), "costs")
-    work.drop("wanted1")
+    work.drop("wanted3", *[f"{kind}{n}" for kind in ("order", "contexts") for n in (1, 2)])
     return costs
 
 
