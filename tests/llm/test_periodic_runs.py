@@ -3,10 +3,12 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 
 from cases import SF, clashing, docs, empty
+from gaugeworks.llm.oracle import PERIODIC_RUNS
 from gaugeworks.llm.periodic_runs import Catcher, find_runs, periodic_runs, periodic_tail
 from gaugeworks.llm.queries import QUERIES
 
@@ -156,6 +158,18 @@ def test_tails_are_periodic(spark):
     assert planted > 15
 
 
+@pytest.mark.skipif(not SF.exists(), reason="test tables are not here")
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_query_equals_sql(spark, size):
+    path = SF.parent / size
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet'")
+    want = con.sql(PERIODIC_RUNS)
+    got = QUERIES["op12_periodic_runs"](spark, str(path))
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want.fetchall(), key=repr)
+
+
 @pytest.mark.skipif(not SF.exists(), reason="test tables are not here")
 def test_query_equals_brute_force(spark):
     got = {r.doc_id: r for r in QUERIES["op12_periodic_runs"](spark, str(SF)).collect()}
