@@ -26,7 +26,7 @@ from gaugeworks.llm.dom import Node, node_features, parse
 from gaugeworks.llm.page_layouts import BOILERPLATE, CONTENT, OUTER, Composer
 
 #: Composed pages to learn from.
-TRAINING_PAGES = 1000
+TRAINING_PAGES = 1600
 
 
 @dataclass

@@ -36,6 +36,7 @@ class Composer:
         self.plain = self.r.random() < 0.3  # attributes that say nothing
         self.semantic = self.r.random() < 0.5
         self.inside = False  # the article
+        self.bare = self.r.random() < 0.15  # nothing around the article
 
     def words(self, low: int, high: int) -> str:
         r = self.r
@@ -79,14 +80,27 @@ class Composer:
             self.out.append(f'<{tag}><a href="/{words[:3]}">{words}</a></{tag}>')
             self.labels.append((" ".join(words.split()), BOILERPLATE))
 
+    def link_row(self, tag: str, attributes: str) -> None:
+        """A block of links behind a word or two."""
+        r = self.r
+        texts = [self.words(1, 5) for _ in range(r.randint(1, 4))]
+        before = self.words(1, 2) + r.choice([":", ""])
+        self.out.append(f"<{tag}{attributes}>{before} " + " ".join(f"<a href=/y>{t}</a>" for t in texts) + f"</{tag}>")
+        self.labels.append((" ".join(" ".join([before, *texts]).split()), BOILERPLATE))
+
     def boilerplate(self, kind: str) -> None:
         r = self.r
         words, tags = KINDS[kind]
         tags = tags.split()
         tag = tags[0] if self.semantic else r.choice(tags)
+        if self.inside and kind in ("related", "advert", "notice") and r.random() < 0.35:
+            tag = "aside"  # says enough by itself
         attributes = self.attributes(words.split())
         if tag in ("nav", "header", "footer", "aside", "form") and r.random() < 0.5:
-            attributes = attributes if self.inside else ""
+            attributes = attributes if self.inside and tag != "aside" else ""
+        if kind == "related" and r.random() < 0.3:
+            self.link_row(tag if tag != "ul" else "div", attributes)
+            return
         if kind in ("advert", "notice") and (tag == "p" or r.random() < 0.4):
             self.text(self.words(3, 40), BOILERPLATE, "div" if tag == "ins" else tag, attributes)
             return
@@ -144,6 +158,11 @@ class Composer:
         if r.random() < 0.75:
             self.text(self.words(2, 12), CONTENT, r.choice(["h1", "h1", "h1", "h2"]))
         count = r.choice([1, 2, 3, 5, 8, 12, 20])
+        if r.random() < 0.12:  # hardly any text at all
+            count = r.randint(1, 2)
+            for _ in range(count):
+                self.text(self.words(1, 6), CONTENT)
+            count = 0
         for i in range(count):
             x = r.random()
             if x < 0.72:
@@ -153,8 +172,14 @@ class Composer:
             elif x < 0.88:
                 list_ = r.choice(["ul", "ol"])
                 self.out.append(f"<{list_}>")
+                linked = r.random() < 0.5  # sources, downloads
                 for _ in range(r.randint(1, 6)):
-                    self.text(self.words(2, 25), CONTENT, "li")
+                    if linked:
+                        words = self.words(1, 9)
+                        self.out.append(f"<li><a href=/d>{words}</a></li>")
+                        self.labels.append((" ".join(words.split()), CONTENT))
+                    else:
+                        self.text(self.words(2, 25), CONTENT, "li")
                 self.out.append(f"</{list_}>")
             elif x < 0.92:
                 self.text(self.words(5, 50), CONTENT, r.choice(["blockquote", "pre", "div"]))
@@ -166,7 +191,7 @@ class Composer:
                         self.text(self.words(1, 6), CONTENT, "td")
                     self.out.append("</tr>")
                 self.out.append("</table>")
-            if i < count - 1 and r.random() < 0.06:
+            if i < count - 1 and r.random() < (0.25 if self.bare else 0.06):
                 # Nothing but its attributes tells an advert among paragraphs from one of them.
                 plain, self.plain, self.inside = self.plain, False, True
                 self.boilerplate(r.choice(["advert", "related", "form", "notice"]))
@@ -180,10 +205,22 @@ class Composer:
     def page(self) -> tuple[str, list[tuple[str, int]]]:
         """A page and the texts of its blocks in page order, each with its label."""
         r = self.r
+        if r.random() < 0.04:
+            return self.unmarked()
         self.out.append('<!DOCTYPE html><html lang="x"><head><title>T</title><style>p{}</style></head><body>')
         wrapped = r.random() < 0.4
         if wrapped:
             self.out.append(f"<div{self.attributes(['wrapper', 'container', 'page', 'site', 'layout'])}>")
+        if self.bare:
+            self.article()
+        else:
+            self.furnished()
+        self.out.append(("</div>" if wrapped else "") + "</body></html>")
+        return "".join(self.out), self.labels
+
+    def furnished(self) -> None:
+        """The article with what stands around it."""
+        r = self.r
         for kind in r.sample(["notice", "header", "menu", "advert", "form"], r.randint(0, 4)):
             self.boilerplate(kind)
         if r.random() < 0.25:
@@ -193,5 +230,13 @@ class Composer:
             self.boilerplate(kind)
         if r.random() < 0.8:
             self.boilerplate("footer")
-        self.out.append(("</div>" if wrapped else "") + "</body></html>")
+
+    def unmarked(self) -> tuple[str, list[tuple[str, int]]]:
+        """A page of text alone, or of paragraphs and nothing else."""
+        r = self.r
+        if r.random() < 0.5:
+            words = self.words(3, 200)
+            return words, [(" ".join(words.split()), CONTENT)]
+        for _ in range(r.randint(1, 6)):
+            self.text(self.words(5, 80), CONTENT)
         return "".join(self.out), self.labels

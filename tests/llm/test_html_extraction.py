@@ -131,6 +131,38 @@ def test_what_is_not_the_article_goes(extra):
     assert main_texts([article(extra)], train()) == [want]
 
 
+SENTENCES = [f"Sentence number {i} of the article has quite a few words in it, as they do." for i in range(5)]
+MENU = '<nav><ul><li><a href="/a">A</a></li><li><a href="/b">B</a></li></ul></nav>'
+
+
+@pytest.mark.parametrize("around", [("", ""), (MENU, "<footer>&copy; me</footer>")], ids=["bare", "furnished"])
+@pytest.mark.parametrize("outer", ["<article>{}</article>", "<div id=main>{}</div>"])
+@pytest.mark.parametrize(
+    "inner, kept",
+    [
+        ('<aside>Related: <a href="/x">foo</a> <a href="/y">bar</a></aside>', []),
+        ('<div class="ad">Buy these fine shoes today.</div>', []),
+        ('<blockquote>It is said that this was so.</blockquote>', ["It is said that this was so."]),
+    ],
+)
+def test_within_the_article(around, outer, inner, kept):
+    body = "".join(f"<p>{t}</p>" for t in SENTENCES)
+    page = f"<html><body>{around[0]}{outer.format('<h1>Title</h1>' + body + inner + body)}{around[1]}</body></html>"
+    assert main_texts([page], train())[0].split("\n\n") == ["Title", *SENTENCES, *kept, *SENTENCES]
+
+
+def test_links_that_belong_to_the_article_stay():
+    links = "<ul><li><a href=/r>The full report</a></li><li><a href=/m>The minutes</a></li></ul>"
+    body = "".join(f"<p>{t}</p>" for t in SENTENCES)
+    page = f"<html><body>{MENU}<article><h1>Title</h1>{body}{links}{body}</article><footer>&copy; me</footer></body></html>"
+    assert main_texts([page], train())[0].split("\n\n") == ["Title", *SENTENCES, "The full report", "The minutes", *SENTENCES]
+
+
+@pytest.mark.parametrize("page", ["hello there", "Just a page of plain text, without any tags at all. It has two sentences."])
+def test_text_without_markup_is_the_article(page):
+    assert main_texts([page], train()) == [page]
+
+
 def test_nulls_empty_repeats_long_and_clashing_names(spark):
     long = article("").replace("</article>", "<p>" + "word " * 300_000 + "</p></article>")
     rows = [(1, "u", article(""), "x"), (1, "u", article(""), "x"), (2, None, None, "x"), (None, "v", "", None), (3, "w", long, "x")]
