@@ -125,6 +125,8 @@ ORACLE: dict[str, str] = {
                strftime(ts, '%H:%M') AS window_time FROM events""",
     "lookup_join": f"""WITH {ENRICHED}
         SELECT device_id, type_id, event_time, type_name FROM enriched""",
+    "lookup_join_frequent": f"""WITH {ENRICHED}
+        SELECT device_id, type_id, event_time, type_name FROM enriched""",
     "coalesce_unknown": f"""WITH {ENRICHED}
         SELECT type_id, type_name, count(*) AS n_events FROM enriched GROUP BY 1, 2""",
     "enrich_project": f"WITH {ENRICHED} SELECT * FROM enriched",
@@ -149,6 +151,7 @@ ORACLE: dict[str, str] = {
     "window_sensor_summary_minute": _summary("minute") + "SELECT * FROM summary",
     "window_sensor_summary_hour": _summary("hour") + "SELECT * FROM summary",
     "window_sensor_summary_day": _summary("day") + "SELECT * FROM summary",
+    "window_sensor_summary_bounded": _summary("day") + "SELECT * FROM summary",
     "sql_window_summary": _summary("hour") + "SELECT * FROM summary",
     "json_sink_encode": _summary("hour")
     + f"SELECT window_start, type_id, {JSON_VALUE} AS value FROM summary",

@@ -23,7 +23,7 @@ from gaugeworks.functions import (
 )
 from gaugeworks.operators.cells import reading_cells
 from gaugeworks.operators.dimension import ensure, seed
-from gaugeworks.operators.lookup import lookup_join
+from gaugeworks.operators.lookup import frequent_ids, lookup_join
 from gaugeworks.operators.lookup_cache import cached_lookup
 from gaugeworks.plans.batch import (
     batch_summary,
@@ -152,6 +152,14 @@ def lookup_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lookup_join_frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join as with a dimension that is too large to broadcast: frequent ids are spread."""
+    readings = readings_table(spark, sf_dir)
+    large = replace(DEFAULTS, broadcast_max_rows=0, frequent_ids=10)
+    named = lookup_join(readings, regions(spark, sf_dir), large, frequent_ids(readings, large))
+    return _zoneless(named).select("device_id", "type_id", "event_time", "type_name")
+
+
 def coalesce_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _enriched(spark, sf_dir).groupBy("type_id", "type_name").agg(F.count("*").alias("n_events"))
@@ -433,6 +441,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "round_half_even_2": round_half_even,
     "window_time_label": window_time_label,
     "lookup_join": lookup_join_query,
+    "lookup_join_frequent": lookup_join_frequent,
     "coalesce_unknown": coalesce_unknown,
     "enrich_project": enrich_project,
     "dimension_insert_ignore": dimension_insert_ignore,
@@ -443,6 +452,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_sensor_summary_minute": _summary_query(DEFAULTS),
     "window_sensor_summary_hour": _summary_query(HOUR),
     "window_sensor_summary_day": _summary_query(DAY),
+    # Most groups count as large here, so their medians are sought between the bounds of a sketch.
+    "window_sensor_summary_bounded": _summary_query(replace(DAY, group_cells_per_task=20)),
     "sql_window_summary": sql_window_summary,
     "json_sink_encode": json_sink_encode,
     "result_readback": result_readback,
