@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import slices, utf8
+from gaugeworks.llm.common import Work, slices, utf8
 
 FEATURE_BITS = 20
 PREFIX = 4
@@ -162,7 +162,7 @@ def train(
     toxic: str = "toxic",
 ) -> Model:
     """A model from at most ``sample`` toxic and ``sample`` clean labelled documents, chosen by a hash
-    of their id; their features reach the driver, not their texts.
+    of their id. Of their features those that can matter reach the driver, not the others nor texts.
 
     Labels with a null are ignored; of repeated ids the largest label counts, and of documents with
     one id the features of one of them. Without both kinds there is no model to learn: it gives
@@ -184,12 +184,15 @@ def train(
     if len(set(ids.values())) < 2:
         return Model(np.zeros(0, np.int64), np.zeros(0), np.full(GRADES, np.inf))
     spark = docs.sparkSession
-    few = F.broadcast(spark.createDataFrame([(i,) for i in ids], "_id long"))  # 2 * sample at most
+    few = F.broadcast(spark.createDataFrame(list(ids.items()), "_id long, _toxic boolean"))  # 2 * sample at most
     texts = docs.select(F.col(doc).cast("long").alias("_id"), utf8(text).alias("_text")).join(few, "_id")
+    work = Work(spark, "toxicity")
+    texts = work.stage(texts.dropDuplicates(["_id"]), "sample")
+    wanted = spark.sparkContext.broadcast(_telling(texts))  # bounded by the number of features
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
-            at, number, value, _ = features(batch.column(1).cast(pa.string()))
+            at, number, value, _ = features(batch.column(1).cast(pa.string()), wanted.value)
             ends = np.searchsorted(at, np.arange(batch.num_rows + 1)).tolist()
             columns = [
                 pa.array([x[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], pa.binary())
@@ -197,7 +200,8 @@ def train(
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["_id", "f", "x"])
 
-    found = texts.mapInArrow(run, "_id long, f binary, x binary").dropDuplicates(["_id"]).collect()
+    found = texts.select("_id", "_text").mapInArrow(run, "_id long, f binary, x binary").collect()
+    work.drop("sample")
     found.sort(key=lambda row: row["_id"])
     at = np.repeat(np.arange(len(found)), [len(row["f"]) // 8 for row in found])
     number = np.concatenate([np.frombuffer(row["f"], np.int64) for row in found])
@@ -206,6 +210,27 @@ def train(
     return fit(at, number, value, grades(at, number, value, bad))
 
 
+def _telling(texts: DataFrame):
+    """The features of the sample ``texts`` (``_id``, ``_text``, ``_toxic``) that can matter to a model: in
+    three texts or more, and with log odds of nearly one or more. The others stay where they are."""
+    import numpy as np
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_text"):
+            at, number, _, _ = features(batch.column(0).cast(pa.string()))
+            toxic = batch.column(1).to_numpy(zero_copy_only=False)[at]
+            found, index = np.unique(number, return_inverse=True)
+            bad, good = (np.bincount(index[of], minlength=len(found)) for of in (toxic, ~toxic))
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(bad), pa.array(good)], ["number", "bad", "good"])
+
+    kinds = texts.agg(F.count_if("_toxic").alias("bad"), F.count_if(~F.col("_toxic")).alias("good")).first()
+    counts = texts.select("_text", "_toxic").mapInArrow(run, "number long, bad long, good long")
+    counts = counts.groupBy("number").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    odds = F.log((F.col("bad") + 0.5) / (kinds["bad"] + 1)) - F.log((F.col("good") + 0.5) / (kinds["good"] + 1))
+    rows = counts.where((F.col("bad") + F.col("good") >= 3) & (F.abs(odds) >= 0.99)).select("number").collect()
+    return np.array(sorted(row["number"] for row in rows), np.int64)
+
+
 def severity(docs: DataFrame, model: Model, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``expected_severity`` (0 to the number of grades),
     ``p_at_least`` (by grade, descending chances), ``grade`` (the largest that is at least as likely
