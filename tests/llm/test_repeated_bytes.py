@@ -1,8 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cases import SF, clashing, docs, empty, words
@@ -119,6 +121,65 @@ def test_empty_table_and_one_passage_in_every_document(spark):
     assert got(docs(spark, texts), 400) == brute(texts, 400)
 
 
+def peak(function, *given):
+    """Bytes that a call takes at most, with what it leaves behind."""
+    tracemalloc.start()
+    function(*given)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return most
+
+
+def test_memory_of_one_sort_and_of_one_segment():
+    """Two tasks share an executor with its heap."""
+    rng = random.Random(5)
+    repeated_bytes._powers.cache_clear()
+    texts = [words(rng, 400, 5000).encode()[:2000] for _ in range(repeated_bytes.SEGMENT_BYTES // 2000)]
+    data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    assert peak(repeated_bytes.string_runs, data, offsets) < 64 << 20
+    # Runs of 151 strings, ten each that differ in one byte, as many as are sorted together.
+    rows = []
+    for text in texts[: repeated_bytes.SORT_BYTES // 5500]:
+        for _ in range(10):
+            own = bytearray(text[:550])
+            own[rng.randrange(550)] = 33
+            rows.append(bytes(own))
+    data, n = np.frombuffer(b"".join(rows), np.uint8), len(rows)
+    given = data, np.arange(n) * 550, np.full(n, 151), np.zeros(n, bool)
+    assert peak(repeated_bytes.repeated_strings, *given) < 64 << 20
+
+
+def test_gram_hashes_do_not_depend_on_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 3, 2000).astype(np.uint8)
+    want = repeated_bytes.gram_hashes(data, 7)
+    grams = [data[i : i + 7].tobytes() for i in range(len(data) - 6)]
+    assert len(set(zip(grams, want.tolist(), strict=True))) == len(set(grams)) == len(set(want.tolist()))
+    monkeypatch.setattr(repeated_bytes, "STRINGS", 64)
+    for gram in (7, 100, 2000):
+        hashes = repeated_bytes.gram_hashes(data, gram)
+        alone = [repeated_bytes.gram_hashes(data[i : i + gram], gram)[0] for i in range(len(data) - gram + 1)]
+        assert hashes.tolist() == alone
+    assert repeated_bytes.gram_hashes(data, 7).tolist() == want.tolist()
+    assert len(repeated_bytes.gram_hashes(data, 2001)) == len(repeated_bytes.gram_hashes(data, 3000)) == 0
+
+
+def test_no_more_is_sorted_together_than_the_limit_or_one_representative():
+    rng = random.Random(9)
+    rows = sorted((rng.randrange(60), ctx, ctx % 2 == 0, bytes(rng.randrange(1, 400))) for ctx in range(300))
+    twice = [row for row in rows for _ in range(1 + (row[1] % 3 == 0))]
+    names = ["key", "ctx", "copied", "bytes"]
+    batches = [
+        pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in twice[i : i + 7]]) for i in range(0, len(twice), 7)
+    ]
+    groups = list(repeated_bytes.sorting_groups(iter(batches), 1000))
+    assert [row for group in groups for row in group] == rows
+    keys = [{row[0] for row in group} for group in groups]
+    assert sum(map(len, keys)) == len(set.union(*keys))
+    assert any(len(k) > 1 for k in keys)
+    assert all(len(k) == 1 or sum(len(row[3]) for row in group) <= 1000 for k, group in zip(keys, groups, strict=True))
+
+
 def test_union_of_spans():
     b, e = union_of(np.array([5, 0, 7, 20, 3]), np.array([8, 3, 9, 30, 5]))
     assert list(zip(b, e, strict=True)) == [(0, 9), (20, 30)]
